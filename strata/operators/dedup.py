@@ -32,23 +32,28 @@ def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
 
 
 def deduplicate(
-    df: DataFrame, keys: Sequence[str], strict: bool = False
+    df: DataFrame, keys: Sequence[str], strict: bool = False, counted: bool = False
 ) -> DataFrame:
     """Keep the row with the smallest content hash per key; NULL keys are one group.
 
-    Without any of the key columns the frame passes through.
+    ``counted`` adds the number of rows each kept row stands for. Without any of the
+    key columns the frame passes through.
     """
     keys = _present(df, keys)
     columns = [c for c in df.columns if not c.startswith("__")]
+    count = [F.col(COPIES)] if counted else []
     if not keys:
-        return df.select(*columns)
+        return df.withColumn(COPIES, F.lit(1).cast("long")).select(*columns, *count)
     hashed = with_row_hash(df, strict)
     rest = [c for c in columns if c not in keys]
     # Equal hashes fall back to the row content, so the choice is deterministic.
     smallest = F.min(F.struct(HASH, *content_columns(rest), *_lineage(rest)))
-    kept = hashed.groupBy(*keys).agg(smallest.alias("__kept"))
+    kept = hashed.groupBy(*keys).agg(
+        smallest.alias("__kept"), F.count(F.lit(1)).alias(COPIES)
+    )
     return kept.select(
-        *[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in columns]
+        *[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in columns],
+        *count,
     )
 
 

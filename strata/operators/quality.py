@@ -218,14 +218,18 @@ _ISSUE_ARRAY = T.ArrayType(
 
 def valid_rows(annotated: DataFrame, required: Sequence[str]) -> DataFrame:
     """Rows with every required value; other findings are reported, not dropped."""
-    return keep_required(annotated, required).drop(ISSUES)
+    return keep_required(annotated.drop(ISSUES), required)
 
 
 def findings(annotated: DataFrame) -> DataFrame:
-    """One row per finding."""
+    """One row per finding.
+
+    Clean rows are left out by exploding an empty array, not by a filter: a filter
+    would be pushed below the projection and evaluate every check a second time.
+    """
+    none = F.array().cast(_ISSUE_ARRAY)
     return (
-        annotated.filter(F.col(ISSUES).isNotNull())
-        .select(F.explode(ISSUES).alias("finding"))
+        annotated.select(F.explode(F.coalesce(ISSUES, none)).alias("finding"))
         .filter(F.col("finding").isNotNull())
         .select("finding.*")
     )

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.clean import Field, base_frame, select_fields
-from strata.operators.dedup import deduplicate, duplicate_issues
+from strata.operators.dedup import deduplicate, duplicate_issues, with_row_hash
 from strata.operators.quality import (
     Dataset,
     InRange,
@@ -20,6 +20,7 @@ from strata.operators.quality import (
     valid_rows,
 )
 from strata.sources.files import read_delimited, read_with_header_offset
+from strata.sources.tables import stage
 
 
 @dataclass(frozen=True)
@@ -78,25 +79,50 @@ class TableSpec:
         run_id: str,
         run_time: dt.datetime | None = None,
     ) -> tuple[DataFrame, DataFrame]:
-        """Lazy (clean rows, issue rows). The table job stages the frame in between."""
+        """Clean rows and issue rows of one source."""
         annotated, missing = self.annotate(spark, path, run_id, run_time)
-        return finish(
-            annotated, missing, self.required, self.key,
-            self.dataset(path, run_id, run_time),
-        )
+        dataset = self.dataset(path, run_id, run_time)
+        finished = Finished.of(annotated, missing, self.required, self.key, dataset)
+        return finished.clean(), finished.issues()
+
+
+@dataclass(frozen=True)
+class Finished:
+    """A checked table, staged once; its clean rows and issues are reads of the stage.
+
+    Staging evaluates the cleaning and the checks exactly once. The clean rows, the
+    findings and the repeated keys then read only the columns they need.
+    """
+
+    staged: DataFrame
+    missing: DataFrame | None
+    required: Sequence[str]
+    key: Sequence[str]
+    dataset: Dataset
+
+    @classmethod
+    def of(
+        cls,
+        annotated: DataFrame,
+        missing: DataFrame | None,
+        required: Sequence[str],
+        key: Sequence[str],
+        dataset: Dataset,
+    ) -> Finished:
+        """Write the annotated frame, with the content hash of each row, to the stage."""
+        staged = stage(with_row_hash(annotated), dataset.name)
+        return cls(staged, missing, required, key, dataset)
+
+    def _valid(self) -> DataFrame:
+        return valid_rows(self.staged, self.required)
 
+    def clean(self, counted: bool = False) -> DataFrame:
+        """Rows with every required value, one per key."""
+        return deduplicate(self._valid(), self.key, counted=counted)
 
-def finish(
-    annotated: DataFrame,
-    missing: DataFrame | None,
-    required: Sequence[str],
-    key: Sequence[str],
-    dataset: Dataset,
-) -> tuple[DataFrame, DataFrame]:
-    """Drop rows without a required value, keep one row per key, list all issues."""
-    valid = valid_rows(annotated, required)
-    issues = union_issues(
-        annotated.sparkSession,
-        [missing, issue_rows(annotated, dataset), duplicate_issues(valid, key, dataset)],
-    )
-    return deduplicate(valid, key), issues
+    def issues(self, repeated: bool = True) -> DataFrame:
+        """All issues; ``repeated=False`` when no key is known to repeat."""
+        frames = [self.missing, issue_rows(self.staged, self.dataset)]
+        if repeated:
+            frames.append(duplicate_issues(self._valid(), self.key, self.dataset))
+        return union_issues(self.staged.sparkSession, frames)

@@ -8,16 +8,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.keys import row_hash
-from strata.operators.clean import keep_required
-from strata.operators.dedup import HASH, deduplicate, duplicate_issues
-from strata.operators.quality import Dataset, issue_rows, union_issues
-from strata.plans.spec import TableSpec
-from strata.sources.tables import DEFAULT_FORMAT, stage, write_table
+from strata.operators.dedup import COPIES
+from strata.operators.quality import union_issues
+from strata.plans.spec import Finished, TableSpec
+from strata.sources.tables import DEFAULT_FORMAT, write_table
 
 # The layout of the audit table, and the names of both logs.
 AUDIT_SCHEMA = T.StructType(
@@ -119,7 +117,7 @@ class TableJob:
         run_id = run_id or str(uuid.uuid4())
         run_time = utc_now()
         audit = Audit(run_id)
-        issues: list[DataFrame | None] = []
+        issues: list[DataFrame] = []
         try:
             for _, group in groupby(specs, lambda spec: spec.source_system):
                 planned = [
@@ -128,8 +126,10 @@ class TableJob:
                 ]
                 for spec, annotated, missing in planned:
                     dataset = spec.dataset(paths[spec.name], run_id, run_time)
-                    issues.append(missing)
-                    issues += self._write(spec, annotated, dataset, audit)
+                    finished = Finished.of(
+                        annotated, missing, spec.required, spec.key, dataset
+                    )
+                    issues.append(self._write(finished, audit))
             issue_count = self._append_issues(issues)
             audit.append(self.spark, self.table_name(AUDIT_TABLE),
                          **self._options(AUDIT_TABLE))
@@ -138,29 +138,28 @@ class TableJob:
             raise RuntimeError(f"Table job failed for run_id={run_id}: {error}") from error
         return RunResult(run_id, {r[2]: r[4] for r in audit.rows}, issue_count)
 
-    def _write(
-        self, spec: TableSpec, annotated: DataFrame, dataset: Dataset, audit: Audit
-    ) -> list[DataFrame | None]:
-        """Write one table and return its issue frames.
+    def _write(self, finished: Finished, audit: Audit) -> DataFrame:
+        """Write the clean rows of one table and return its issues.
 
-        The checked rows are staged once with their hash. The clean rows, the
-        findings and the duplicate keys each read only the columns they need.
+        The keys that repeat are counted during the write; the pass that lists them
+        is left out when there are none.
         """
-        hashed = annotated.withColumn(HASH, F.unhex(row_hash(annotated.columns)))
-        staged = stage(hashed, spec.name)
-        valid = keep_required(staged, spec.required)
+        name = finished.dataset.name
+        repeated = Observation()
+        clean = (
+            finished.clean(counted=True)
+            .observe(repeated, F.count_if(F.col(COPIES) > 1).alias("keys"))
+            .drop(COPIES)
+        )
         audit.write(
-            deduplicate(valid, spec.key),
-            spec.source_system,
-            self.table_name(spec.name),
-            **self._options(spec.name),
+            clean,
+            finished.dataset.source_system,
+            self.table_name(name),
+            **self._options(name),
         )
-        return [
-            issue_rows(staged, dataset),
-            duplicate_issues(valid, spec.key, dataset),
-        ]
+        return finished.issues(repeated=repeated.get["keys"] > 0)
 
-    def _append_issues(self, frames: list[DataFrame | None]) -> int:
+    def _append_issues(self, frames: list[DataFrame]) -> int:
         return write_table(
             union_issues(self.spark, frames),
             self.table_name(ISSUE_TABLE),

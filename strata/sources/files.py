@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from strata.functions.headers import fill_header
 from strata.operators.clean import drop_empty_rows
 
+BROADCAST_FILES = 100_000
+
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t") -> DataFrame:
     """Delimited file with a header line; ragged rows are padded or cut."""
@@ -26,30 +28,60 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t") -> Dat
 def read_with_header_offset(
     spark: SparkSession, path: str, header_row: int, delimiter: str = "\t"
 ) -> DataFrame:
-    """One delimited file whose header is line ``header_row``, counted from zero.
+    """Delimited file whose header is line ``header_row``, counted from zero.
 
-    The lines before it are a preamble and are skipped. Blank cells become NULL;
-    rows and columns without any value are dropped. Two small jobs run here: one
-    reads the lines up to the header, one aggregates which columns hold a value.
+    The lines before it are a preamble and are skipped; a folder may hold several
+    files that all start with the same preamble and header. Blank cells become NULL;
+    rows and columns without any value are dropped. Small jobs run here: reading the
+    lines up to the header, and one aggregate that finds the columns with a value.
     """
     lines = spark.read.text(path)
-    if len(lines.inputFiles()) != 1:
-        raise ValueError(f"Expected exactly one file at {path}")
-    head = lines.limit(header_row + 1).collect()
+    files = lines.inputFiles()
+    if not files:
+        raise ValueError(f"No usable rows were found in {path}")
+    head = spark.read.text(files[0]).limit(header_row + 1).collect()
     if len(head) <= header_row:
         raise ValueError(f"No usable rows were found in {path}")
     names = fill_header(next(csv.reader([head[header_row].value], delimiter=delimiter)))
-    # A file is split in order and its first split opens partition 0, so ids up to
-    # header_row are its first lines; other partitions start at 2^33 or later.
-    body = lines.select("value", F.monotonically_increasing_id().alias("line")).filter(
-        F.col("line") > header_row
+    parsed = (
+        _after_line(lines, header_row, len(files))
+        .select(F.from_csv("value", _ddl(names), {"sep": delimiter}).alias("row"))
+        .select("row.*")
     )
-    parsed = body.select(
-        F.from_csv("value", _ddl(names), {"sep": delimiter}).alias("row")
-    ).select("row.*")
     return drop_empty_columns(drop_empty_rows(parsed), path)
 
 
+def _after_line(lines: DataFrame, last: int, files: int) -> DataFrame:
+    """The lines of each file after its line ``last``, without sorting or shuffling.
+
+    Within a task the ids grow by one per line, in file order. The block that opens a
+    file is read first to last by one task, so a line of that block is known by its
+    distance from the block's first id; all other blocks lie beyond the header.
+    """
+    numbered = lines.select(
+        "value",
+        F.monotonically_increasing_id().alias("__id"),
+        F.col("_metadata.file_path").alias("__file"),
+        (F.col("_metadata.file_block_start") == 0).alias("__opening"),
+    )
+    if files == 1:
+        # The first block of a single file opens partition 0, whose ids start at zero.
+        return numbered.filter(F.col("__id") > last).select("value")
+    first = (
+        numbered.filter("__opening")
+        .groupBy("__file")
+        .agg(F.min("__id").alias("__first"))
+    )
+    # One row per file, and the number of files is known here.
+    if files <= BROADCAST_FILES:
+        first = F.broadcast(first)
+    return (
+        numbered.join(first, "__file")
+        .filter(~F.col("__opening") | (F.col("__id") - F.col("__first") > last))
+        .select("value")
+    )
+
+
 def _ddl(names: list[str]) -> str:
     return ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
 
