@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +62,10 @@ def nullify_placeholders(
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
     """Blank strings become NULL, then rows without any value are dropped."""
-    blank = _map_strings(df, lambda c: F.when(~c.rlike(r"(?U)^\s*$"), c))
-    return blank.na.drop("all")
+    filled = _map_strings(df, lambda c: F.when(c.rlike(r"(?U)\S"), c))
+    return filled.filter(
+        reduce(or_, [_quoted(c).isNotNull() for c in filled.columns])
+    )
 
 
 def with_lineage(

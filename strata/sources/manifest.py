@@ -30,7 +30,7 @@ _EXPECTED_DDL = (
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """File name, path, size and modification time; contents are never read."""
+    """Name, path, size and time of all files with content; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -51,7 +51,7 @@ def manifest(
     """One row per expected file; a missing or empty file counts as failed."""
     wanted = spark.createDataFrame([astuple(e) for e in expected], _EXPECTED_DDL)
     found = list_files(spark, path)
-    arrived = F.coalesce(F.col("bytes_written"), F.lit(0)) > 0
+    arrived = F.col("raw_file_path").isNotNull()
     return wanted.join(found, "file_name", "left").select(
         "source",
         "source_group",
@@ -62,9 +62,7 @@ def manifest(
         "required",
         F.when(arrived, SUCCESS).otherwise(FAILED).alias("download_status"),
         F.coalesce("bytes_written", F.lit(0)).alias("bytes_written"),
-        F.when(F.col("raw_file_path").isNull(), "File not found")
-        .when(~arrived, "Downloaded file is empty")
-        .alias("error_message"),
+        F.when(~arrived, "File is missing or empty").alias("error_message"),
         (F.current_timestamp() if fetched_at is None else F.lit(fetched_at)).alias(
             "fetched_at_utc"
         ),

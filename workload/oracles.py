@@ -367,7 +367,7 @@ ORACLES: dict[str, str] = {
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""",
     "required_source_gate": """
-        SELECT * FROM (VALUES ('tables','returns.parquet','File not found'))
+        SELECT * FROM (VALUES ('tables','returns.parquet','File is missing or empty'))
         AS v(source, file_name, error_message)""",
     "sink_overwrite_append": """
         SELECT event_type, 2*count(*) AS n_rows FROM events GROUP BY event_type""",
