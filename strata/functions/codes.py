@@ -30,15 +30,27 @@ PREPARATION_LABELS = {
 SCALE_LABELS = {"IM": "importance", "LV": "level"}
 
 
+# All characters that count as whitespace.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(value: Column) -> Column:
     """Remove leading and trailing whitespace of any kind, not only spaces."""
-    return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def base_code(value: Column) -> Column:
     """``##-####`` from the first six digits; NULL when there are fewer than six."""
-    digits = F.regexp_replace(value.cast("string"), "[^0-9]", "")
+    text = value.cast("string")
+    digits = F.regexp_replace(text, "[^0-9]", "")
+    # Values that start in the right form, nearly all of them, are only cut.
     return F.when(
+        text.rlike("^[0-9]{2}-[0-9]{4}"), F.substring(text, 1, 7)
+    ).when(
         F.length(digits) >= 6,
         F.concat(F.substring(digits, 1, 2), F.lit("-"), F.substring(digits, 3, 4)),
     )

@@ -14,7 +14,9 @@ HALF_YEAR_PATTERN = r"^S0[1-2]$"
 
 def source_month(value: Column) -> Column:
     """First day of an ``MM/yyyy`` month; an impossible month is NULL."""
-    return F.try_to_date(F.concat(F.lit("01/"), value), "dd/MM/yyyy")
+    day = F.try_to_date(F.concat(F.lit("01/"), value), "dd/MM/yyyy")
+    # Text in another form is turned away before the parser has to fail on it.
+    return F.when(value.rlike("^(0[1-9]|1[0-2])/[0-9]{4}$"), day)
 
 
 def period_type(period: Column) -> Column:

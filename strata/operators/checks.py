@@ -88,21 +88,21 @@ def coverage(
 ) -> DataFrame:
     """Distinct members per dimension row in each branch, zero where there are none.
 
-    ``branches`` maps output name to (frame, key column, member column). All
-    branches are tagged and counted together: one reduction to distinct members
-    and one per key, however many branches there are.
+    ``branches`` maps output name to (frame, key column, member column). Each branch
+    is reduced to its distinct members, which also lets Spark drop lookup joins the
+    branch does not need; then all branches are counted in one aggregate by key.
     """
     tagged = [
         frame.select(
-            F.lit(name).alias("__branch"),
-            F.col(branch_key).alias("__key"),
-            F.col(member).cast("string").alias("__member"),
-        ).filter(F.col("__key").isNotNull() & F.col("__member").isNotNull())
+            F.col(branch_key).alias("__key"), F.col(member).cast("string").alias("__member")
+        )
+        .filter(F.col("__key").isNotNull() & F.col("__member").isNotNull())
+        .distinct()
+        .select(F.lit(name).alias("__branch"), "__key")
         for name, (frame, branch_key, member) in branches.items()
     ]
     counts = (
         reduce(DataFrame.unionByName, tagged)
-        .distinct()
         .groupBy("__key")
         .agg(*[F.count_if(F.col("__branch") == n).alias(n) for n in branches])
     )

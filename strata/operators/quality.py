@@ -153,9 +153,9 @@ class Finding:
     message: str
     raw_value: Column
 
-    def entry(self) -> Column:
+    def entry(self, failed: Column) -> Column:
         return F.when(
-            self.failed,
+            failed,
             F.struct(
                 self.key.alias("record_key"),
                 F.lit(self.severity).alias("severity"),
@@ -201,13 +201,19 @@ def annotate(
             )
         )
     findings += [f for f in (rule.finding(values) for rule in rules) if f]
-    if findings:
-        failed = reduce(or_, [f.failed for f in findings])
-        issues = F.when(failed, F.array(*[f.entry() for f in findings]))
-    else:
-        issues = F.lit(None).cast(_ISSUE_ARRAY)
-    return typed.select(
-        *[values[c].alias(c) for c in df.columns], issues.alias(ISSUES)
+    if not findings:
+        none = F.lit(None).cast(_ISSUE_ARRAY)
+        return typed.select(*[values[c] for c in df.columns], none.alias(ISSUES))
+    # First whether each check failed, then the findings of the rows where one did.
+    flags = [f"__failed_{i}" for i in range(len(findings))]
+    flagged = typed.select(
+        "*", *[f.failed.alias(flag) for f, flag in zip(findings, flags)]
+    )
+    any_failed = reduce(or_, [F.col(flag) for flag in flags])
+    entries = F.array(*[f.entry(F.col(flag)) for f, flag in zip(findings, flags)])
+    return flagged.select(
+        *[values[c].alias(c) for c in df.columns],
+        F.when(any_failed, entries).alias(ISSUES),
     )
 
 

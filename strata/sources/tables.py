@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,11 +64,36 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# The JVM does not compile methods above this size; they run interpreted, several
+# times slower. Spark's own limit for generated methods is far higher.
+COMPILED_METHOD_BYTES = 8000
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_SPARK_METHOD_LIMIT = 65535
+
+
+@contextmanager
+def compilable_methods(spark: SparkSession) -> Iterator[None]:
+    """Keep generated code small enough to be compiled, for wide cleaning steps.
+
+    A limit that the session has set itself is left alone.
+    """
+    before = spark.conf.get(_METHOD_LIMIT)
+    if int(before) != _SPARK_METHOD_LIMIT:
+        yield
+        return
+    spark.conf.set(_METHOD_LIMIT, COMPILED_METHOD_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and read it back, so later reads do not recompute it.
 
     Reads of the result prune columns, and a lost executor costs no recomputation.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    with compilable_methods(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

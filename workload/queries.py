@@ -604,11 +604,12 @@ def projection_fact(spark, d):
     return _no_lineage(_projection_fact(spark, d))
 
 
-def _education(spark: SparkSession, d: str) -> DataFrame:
+def _education(spark: SparkSession, d: str, **options) -> DataFrame:
     return gold.bridge_occupation_education(
         _clean_tables(
             spark, d, "onet_education", "onet_education_categories", "onet_occupations"
-        )
+        ),
+        **options,
     )
 
 
@@ -758,9 +759,10 @@ def check_coverage(spark, d):
 def bridge_coverage(spark, d):
     """Coverage of the coded titles by all four bridges."""
     dimension = occupation_dimension(spark, d).select("soc_code", "occupation_title")
+    # The ranks are not used, so Spark drops them; no group needs to be measured.
     bridges = {
-        "onet_occupations_with_education": _education(spark, d),
-        "onet_occupations_with_skills": _skills(spark, d),
+        "onet_occupations_with_education": _education(spark, d, max_group_rows=None),
+        "onet_occupations_with_skills": _skills(spark, d, max_group_rows=None),
         "onet_occupations_with_software": _software(spark, d),
         "onet_occupations_with_job_zone": _zones(spark, d),
     }
