@@ -35,25 +35,28 @@ def dense_rank(
     """
     if max_group_rows is None:
         return dense_rank_by_window(df, groups, order, name)
-    large = (
-        df.groupBy(*groups)
-        .count()
-        .filter(F.col("count") > max_group_rows)
-        .drop("count")
-    )
-    if large.isEmpty():
-        return dense_rank_by_window(df, groups, order, name)
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"))
     # At most rows / max_group_rows groups are large; the staged list has a known
     # size, so Spark broadcasts it when it is below the session's threshold.
-    large = stage(large, "large-groups")
+    large = stage(sizes.filter(F.col("__rows") > max_group_rows), "large-groups")
+    rows = large.agg(F.sum("__rows")).first()[0]
+    if rows is None:
+        return dense_rank_by_window(df, groups, order, name)
+    large = large.drop("__rows")
     same = reduce(and_, [df[g].eqNullSafe(large[g]) for g in groups])
-    return dense_rank_by_window(
-        df.join(large, same, "left_anti"), groups, order, name
-    ).unionByName(
-        dense_rank_by_ranges(df.join(large, same, "left_semi"), groups, order, name)
+    small = df.join(large, same, "left_anti")
+    ranges = max(_partitions(df), rows // max_group_rows + 1)
+    return dense_rank_by_window(small, groups, order, name).unionByName(
+        dense_rank_by_ranges(
+            df.join(large, same, "left_semi"), groups, order, name, ranges
+        )
     )
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _sort(order: Sequence[tuple[str, str]]) -> list[Column]:
     return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
 
@@ -80,11 +83,11 @@ def dense_rank_by_ranges(
     The distinct order values are sorted into ranges across the cluster and staged
     with their range number. A rank is the rank within the range plus the number of
     distinct values in the group's earlier ranges; the latter is a running sum over
-    at most one row per group and range.
+    at most one row per group and range. ``ranges`` should grow with the rows, so that
+    one range fits a task; ``dense_rank`` derives it from the group sizes.
     """
-    spark = df.sparkSession
     columns = [c for c, _ in order]
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or _partitions(df)
     values = df.select(*groups, *columns).distinct()
     ranged = stage(
         values.repartitionByRange(

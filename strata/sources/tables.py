@@ -23,9 +23,14 @@ def write_table(
 ) -> int:
     """Write a catalog table and return the number of rows written.
 
-    The count is observed while writing, so the table is not read again.
+    The count is observed in the writing tasks, so the table is not read again and a
+    recomputed shuffle is not counted twice. Rows of a partitioned table are first
+    brought together by partition, or every task would add a file to every partition;
+    a partition that holds too many rows is split over several tasks.
     """
     written = Observation()
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(format).mode(mode)
     if mode == "overwrite":
