@@ -4,7 +4,7 @@ import pytest
 from source_files import write_sources
 
 from strata.operators import checks
-from strata.plans import board, gold, occupation_tables, survey_tables
+from strata.plans import board, gold, gold_checks, occupation_tables, survey_tables
 from strata.plans.spec import TableSpec
 from strata.plans.table_job import AUDIT_TABLE, ISSUE_TABLE, TableJob, newest_first
 
@@ -185,16 +185,20 @@ def test_bridges(views):
     assert views["bridge_occupation_software"].count() == 2
 
 
-def test_view_keys_are_unique(spark, views):
-    for name, key in {
-        "dim_occupation": ["soc_code"],
-        "fact_oews_measurement": ["series_id", "year", "period"],
-        "bridge_occupation_education": ["onet_soc_code", "element_id", "scale_id",
-                                        "category"],
-        "bridge_occupation_skill": ["onet_soc_code", "skill_family", "skill_id", "scale_id"],
-        "bridge_occupation_software": ["onet_soc_code", "software_name", "element_id"],
-    }.items():
-        assert checks.repeated_keys(spark.table(name), key).count() == 0, name
+def test_validation_of_the_views(views):
+    found = gold_checks.validation(views)
+    assert len(found) == 9
+    for name in gold_checks.UNIQUE_KEYS:
+        assert found[f"{name}_key"].count() == 0, name
+    assert tuple(found["dim_occupation_nulls"].first()) == (0, 0)
+    hits = found["fact_oews_measurement_lookups"].first()
+    assert (hits.total_oews_rows, hits.rows_with_area_name) == (5, 4)
+    matches = found["fact_occupation_projection_matches"].first()
+    assert (matches.total_projection_rows, matches.unmatched_projection_rows) == (5, 0)
+    coverage = [tuple(r) for r in found["bridge_coverage"].collect()]
+    assert [r[0] for r in coverage] == sorted(r[0] for r in coverage)
+    assert ("15-1252", "Software developers", 1, 1, 1, 1) in coverage
+    assert ("53-7199", "Movers", 0, 0, 0, 0) in coverage
 
 
 def test_board(views):
