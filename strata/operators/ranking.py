@@ -45,7 +45,7 @@ def dense_rank(
     large = large.drop("__rows")
     same = reduce(and_, [df[g].eqNullSafe(large[g]) for g in groups])
     small = df.join(large, same, "left_anti")
-    ranges = max(_partitions(df), rows // max_group_rows + 1)
+    ranges = max(_partitions(df), rows // GROUP_ROWS + 1)
     return dense_rank_by_window(small, groups, order, name).unionByName(
         dense_rank_by_ranges(
             df.join(large, same, "left_semi"), groups, order, name, ranges
