@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.frames import WORD
+from strata.llm.frames import WORD, staged
 
 #: Character classes, counted over the characters of words. What is in none of them and no
 #: digit is a class too.
@@ -254,7 +254,8 @@ def divergences(
     """
     spark_docs = docs.select(F.col(text).alias("t"), F.col(language).alias("l"))
     words = spark_docs.select("l", _words(F.col("t")).alias("words"))
-    common = common_words(words, "l", rule)
+    # One row per language, staged: its size is known, so Spark broadcasts it if small.
+    common = staged(common_words(words, "l", rule), "common-words")
     with_common = _join_languages(
         base_counts(docs, text, rule), common, language
     ).withColumns(
@@ -263,7 +264,7 @@ def divergences(
             "word_shares": _shares(_word_counts(F.col("words"), F.col("common"))),
         }
     )
-    reference = _reference(spark_docs, common, rule)
+    reference = staged(_reference(spark_docs, common, rule), "references")
     judged = _join_languages(with_common, reference, language)
 
     def distance(kind: str, min_words: int) -> Column:

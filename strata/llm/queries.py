@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.llm import divergence
+from strata.llm import balancing, divergence
 from strata.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +17,15 @@ def op3_distribution_divergence(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *divergence.RESULT)
 
 
+def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
+    mixed = balancing.mix_sizes(table(spark, d, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op3_distribution_divergence,
+        op10_entropy_balancing,
     )
 }
