@@ -109,7 +109,14 @@ def solve(
         got = _sums(units, multiplier, tilt, columns, mix)
         free = [s for s in names if s not in full]
         gap = np.array([got[s]["words"] - targets[s] for s in free])
-        slope = np.array([max(got[s]["free"], 1e-300) for s in free])
+        # Where most words are held at the highest rate the dual is nearly straight; the
+        # slope of the whole then damps the step.
+        slope = np.array(
+            [
+                got[s]["free"] if 2 * got[s]["free"] > got[s]["words"] else got[s]["words"]
+                for s in free
+            ]
+        )
         gap_f = sum((got[s]["x"] for s in names), np.zeros(len(columns))) - wanted
         scale = [max(1.0, targets[s]) for s in free]
         if all(abs(g) <= mix.tolerance * t for g, t in zip(gap, scale)) and np.all(

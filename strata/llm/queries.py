@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import balancing, divergence
+from strata.llm import balancing, credentials, divergence
 from strata.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,18 @@ def op3_distribution_divergence(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *divergence.RESULT)
 
 
+def op5_credential_linking(spark: SparkSession, d: str) -> DataFrame:
+    found = credentials.scan(table(spark, d, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
     mixed = balancing.mix_sizes(table(spark, d, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -26,6 +39,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op3_distribution_divergence,
+        op5_credential_linking,
         op10_entropy_balancing,
     )
 }
