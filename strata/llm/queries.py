@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import balancing, credentials, divergence
+from strata.llm import balancing, byte_cnn, credentials, divergence, toxicity
 from strata.llm.frames import table
+from strata.llm.labelled import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,27 @@ def op5_credential_linking(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _classified(scores: DataFrame, held_out: Column, limit: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= limit).cast("int").alias("predicted"),
+    )
+
+
+def op7_byte_cnn_quality(spark: SparkSession, d: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    return _classified(byte_cnn.score(docs, labels, ~held_out), held_out, 0.7)
+
+
+def op9_nb_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    return _classified(toxicity.score(docs, labels, ~held_out), held_out, 0.5)
+
+
 def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
     mixed = balancing.mix_sizes(table(spark, d, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +62,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op3_distribution_divergence,
         op5_credential_linking,
+        op7_byte_cnn_quality,
+        op9_nb_ngram_toxicity,
         op10_entropy_balancing,
     )
 }
