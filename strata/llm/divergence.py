@@ -16,7 +16,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +35,17 @@ CLASSES = {
 DIGIT = r"\p{Nd}"
 
 
+RESULT = [
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "base_failed",
+    "kept",
+]
+
+
 @dataclass(frozen=True)
 class Rule:
     """Limits of the verdict. Distances are between 0 and 1."""
@@ -244,28 +255,34 @@ def _join_languages(df: DataFrame, languages: DataFrame, language: str) -> DataF
 
 
 def divergences(
-    docs: DataFrame, text: str = "text", language: str = "lang", rule: Rule = Rule()
+    docs: DataFrame,
+    keep: Sequence[str],
+    text: str = "text",
+    language: str = "lang",
+    rule: Rule = Rule(),
 ) -> DataFrame:
-    """Add base counts, both distances and the verdict ``kept`` to every row.
+    """Base counts, both distances and the verdict ``kept``, beside the columns ``keep``.
 
     Columns of ``docs`` must not be named like the added ones; ``judge`` and
-    ``keep_good`` take any frame. Three passes over the texts: for the common words, the median
-    histograms, both reduced in each task before they are shuffled, and the rows.
+    ``keep_good`` take any frame. Two passes over the texts: one for the common words of
+    the languages, reduced in each task before it is shuffled, and one for the counts of
+    each row, which are staged. The medians and the verdicts come from that stage.
     """
-    spark_docs = docs.select(F.col(text).alias("t"), F.col(language).alias("l"))
-    words = spark_docs.select("l", _words(F.col("t")).alias("words"))
+    words = docs.select(F.col(language).alias("l"), _words(F.col(text)).alias("words"))
     # One row per language, staged: its size is known, so Spark broadcasts it if small.
     common = staged(common_words(words, "l", rule), "common-words")
-    with_common = _join_languages(
-        base_counts(docs, text, rule), common, language
-    ).withColumns(
-        {
-            "class_shares": _shares(F.col("classes")),
-            "word_shares": _shares(_word_counts(F.col("words"), F.col("common"))),
-        }
+    counted = staged(
+        _join_languages(base_counts(docs, text, rule), common, language).select(
+            *keep,
+            F.col(language).alias("language"),
+            *RESULT[:-1],
+            _shares(F.col("classes")).alias("class_shares"),
+            _shares(_word_counts(F.col("words"), F.col("common"))).alias("word_shares"),
+        ),
+        "divergence-counts",
     )
-    reference = staged(_reference(spark_docs, common, rule), "references")
-    judged = _join_languages(with_common, reference, language)
+    reference = staged(_reference(counted, rule), "references")
+    judged = _join_languages(counted, reference, "language")
 
     def distance(kind: str, min_words: int) -> Column:
         enough = (F.col("n_words") >= min_words) & (
@@ -288,21 +305,12 @@ def divergences(
     )
 
 
-def _reference(texts: DataFrame, common: DataFrame, rule: Rule) -> DataFrame:
+def _reference(counted: DataFrame, rule: Rule) -> DataFrame:
     """Median share of each bin per language, over all documents that are long enough.
 
     Shares are counted as whole thousandths: at most 1,001 counts per language and bin,
     reduced in each task, give the exact median however many documents there are.
     """
-    words = F.col("words")
-    counted = _join_languages(
-        texts.withColumn("words", _words(F.col("t"))), common, "l"
-    ).filter(F.size(words) >= rule.min_class_words)
-    joined = F.array_join(words, "")
-    class_shares = _shares(_histogram(_class_counts(F.col("joined")), F.col("joined")))
-    word_shares = F.when(
-        F.size(words) >= rule.min_words, _shares(_word_counts(words, F.col("common")))
-    )
 
     def bins(shares: Column, kind: str) -> Column:
         return F.transform(
@@ -314,12 +322,16 @@ def _reference(texts: DataFrame, common: DataFrame, rule: Rule) -> DataFrame:
             ),
         )
 
-    shares = counted.withColumn("joined", joined).select(
-        F.col("l").alias("language"),
+    def long_enough(name: str, kind: str, min_words: int) -> Column:
+        held = F.when(F.col("n_words") >= min_words, bins(F.col(name), kind))
+        return F.coalesce(held, F.array().cast(_BINS))
+
+    shares = counted.select(
+        "language",
         F.explode(
             F.concat(
-                bins(class_shares, "c"),
-                F.coalesce(bins(word_shares, "w"), F.array().cast(_BINS)),
+                long_enough("class_shares", "c", rule.min_class_words),
+                long_enough("word_shares", "w", rule.min_words),
             )
         ).alias("b"),
     )
@@ -352,17 +364,6 @@ def _reference(texts: DataFrame, common: DataFrame, rule: Rule) -> DataFrame:
 
 _BINS = "array<struct<kind:string,bin:int,share:int>>"
 
-RESULT = [
-    "n_words",
-    "word_chars",
-    "n_symbols",
-    "n_dup_lines",
-    "n_repeat_words",
-    "base_failed",
-    "kept",
-]
-
-
 def judge(
     docs: DataFrame,
     id: str = "doc_id",
@@ -374,7 +375,7 @@ def judge(
     chosen = docs.select(
         F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(language).alias("lang")
     )
-    return divergences(chosen, "text", "lang", rule).select(
+    return divergences(chosen, ["doc_id"], "text", "lang", rule).select(
         "doc_id", *RESULT, "class_distance", "word_distance"
     )
 
@@ -388,4 +389,5 @@ def keep_good(
         docs[text].alias("text"),
         docs[language].alias("lang"),
     )
-    return divergences(packed, "text", "lang", rule).filter("kept").select("row.*")
+    judged = divergences(packed, ["row"], "text", "lang", rule)
+    return judged.filter("kept").select("row.*")

@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import balancing, byte_cnn, credentials, divergence, toxicity
+from strata.llm import (
+    balancing,
+    byte_cnn,
+    credentials,
+    divergence,
+    html_text,
+    toxicity,
+)
 from strata.llm.frames import table
 from strata.llm.labelled import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_text_tag_ratio(spark: SparkSession, d: str) -> DataFrame:
+    found = html_text.extract(table(spark, d, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_distribution_divergence(spark: SparkSession, d: str) -> DataFrame:
     judged = divergence.judge(table(spark, d, "documents"))
     return judged.select("doc_id", *divergence.RESULT)
@@ -60,6 +72,7 @@ def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_text_tag_ratio,
         op3_distribution_divergence,
         op5_credential_linking,
         op7_byte_cnn_quality,
