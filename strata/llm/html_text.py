@@ -4,8 +4,10 @@ Parser events of the standard library stream over a page and build lines: a bloc
 starts a line, so a line is what a reader sees as one. Each line has its characters of text,
 its tags and its links. The text-to-tag ratio of the lines is smoothed by a Gaussian, so a
 short line inside an article takes part in its neighbourhood, and lines above a threshold
-form the content clusters. Where the page marks its article, the clusters are looked for
-inside it, and its own short lines belong to it.
+are content. Content lines near each other form a cluster, and the clusters select the
+regions: an element that the page marks as an article is one region and is kept whole if
+it holds a cluster; elsewhere a region reaches from the first to the last line of its
+cluster. Lines that are mostly links are menus and are left out of unmarked regions.
 
 Menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles
 and reader comments are left out by what they are marked as, before ratios are taken.
@@ -79,6 +81,8 @@ class Extraction:
     radius: int = 4
     threshold: float = 0.35
     max_link_share: float = 0.6
+    max_gap: int = 3
+    min_cluster_share: float = 0.2
 
 
 @dataclass
@@ -88,7 +92,7 @@ class Line:
     parts: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
-    article: bool = False
+    article: int = 0
     text: str = ""
 
 
@@ -100,6 +104,7 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, bool, bool]] = []
         self.dropped = 0
         self.articles = 0
+        self.article = 0
         self.links = 0
         self.lines: list[Line] = []
         self.line = Line()
@@ -125,6 +130,8 @@ class _Lines(HTMLParser):
         drop = self._is_noise(tag, attrs)
         article = tag in ("article", "main") and not self.dropped and not drop
         self.dropped += drop
+        # The outermost marked element numbers the region.
+        self.article += article and not self.articles
         self.articles += article
         self.links += tag == "a"
         self.open.append((tag, drop, article))
@@ -148,7 +155,8 @@ class _Lines(HTMLParser):
         if self.dropped:
             return
         self.line.parts.append(data)
-        self.line.article = self.line.article or self.articles > 0
+        if self.articles and not self.line.article:
+            self.line.article = self.article
         if self.links:
             self.line.linked += len(data.strip())
 
@@ -226,20 +234,36 @@ def main_text(html: str | None, how: Extraction = Extraction()) -> str:
     parser = _Lines()
     parser.feed(html)
     lines = parser.finish()
-    marked = [x for x in lines if x.article]
-    lines = marked or lines
     if not lines:
         return ""
-    ratios = text_tag_ratios(lines)
-    smoothed = smooth(ratios, how)
-    # The deviation within the page, so that a page of even lines is all content.
-    limit = how.threshold * float(smoothed.mean())
-    kept = []
-    for line, ratio in zip(lines, smoothed):
-        menu = line.linked > how.max_link_share * len(line.text)
-        if marked or (ratio >= limit and not menu):
-            kept.append(line.text)
-    return "\n".join(kept)
+    smoothed = smooth(text_tag_ratios(lines), how)
+    # Relative to the page, so that a page of even lines is all content.
+    content = smoothed >= how.threshold * float(smoothed.mean())
+    kept = _marked_regions(lines, content) or _clusters(lines, content, how)
+    return "\n".join(lines[i].text for i in kept)
+
+
+def _marked_regions(lines: list[Line], content: np.ndarray) -> list[int]:
+    """Lines of the marked elements that hold content."""
+    regions = {x.article for x, is_content in zip(lines, content) if is_content} - {0}
+    return [i for i, x in enumerate(lines) if x.article in regions]
+
+
+def _clusters(lines: list[Line], content: np.ndarray, how: Extraction) -> list[int]:
+    """Lines of the clusters that have a fair share of the largest one's text."""
+    menu = np.array([x.linked > how.max_link_share * len(x.text) for x in lines])
+    at = np.flatnonzero(content & ~menu)
+    if not len(at):
+        return []
+    runs = np.split(at, np.flatnonzero(np.diff(at) > how.max_gap) + 1)
+    mass = [sum(len(lines[i].text) for i in run) for run in runs]
+    return [
+        i
+        for run, m in zip(runs, mass)
+        if m >= how.min_cluster_share * max(mass)
+        for i in range(run[0], run[-1] + 1)
+        if not menu[i]
+    ]
 
 
 def extract(
