@@ -33,7 +33,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend "
     "li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul "
-    "head br".split()
+    "head".split()
 )
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -60,7 +60,7 @@ _CONTENT = re.compile(
     re.IGNORECASE,
 )
 #: An open paragraph ends where one of these starts.
-_ENDS_P = BLOCKS - {"br"}
+_ENDS_P = BLOCKS
 _SELF_CLOSING = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -126,6 +126,8 @@ class _Lines(HTMLParser):
             self.break_line()
         self.line.tags += 1
         if tag in VOID:
+            if tag in ("br", "wbr") and not self.dropped:
+                self.line.parts.append(" " if tag == "br" else "")
             return
         drop = self._is_noise(tag, attrs)
         article = tag in ("article", "main") and not self.dropped and not drop

@@ -13,6 +13,7 @@ from strata.llm import (
     credentials,
     divergence,
     html_text,
+    minhash,
     toxicity,
 )
 from strata.llm.frames import table
@@ -21,6 +22,10 @@ from strata.llm.labelled import remainder
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash_odd_sketch(spark: SparkSession, d: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, d, "documents"))
+
+
 def op2_text_tag_ratio(spark: SparkSession, d: str) -> DataFrame:
     found = html_text.extract(table(spark, d, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -72,6 +77,7 @@ def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_minhash_odd_sketch,
         op2_text_tag_ratio,
         op3_distribution_divergence,
         op5_credential_linking,
