@@ -60,29 +60,44 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(powers)
 
 
-# A value for each byte, so that a word is a sum of values times powers of an odd base.
-_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_BASE = np.uint64(0xD6E8FEB86659FD93)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-
-
 class Prefix:
-    """Hashes of any range of a buffer from running sums: 64 bits, equal for equal bytes."""
+    """Hashes of any range of a buffer from running sums: 64 bits, equal for equal bytes.
+
+    Each byte has a random value, and a range is the sum of its values times powers of an
+    odd base. ``family`` picks independent values and bases.
+    """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, family: int = 0):
         n = len(data)
-        if len(_POWER[0]) <= n:
-            _POWER[0] = _powers(_BASE, n + 1)
-            _POWER[1] = _powers(_INVERSE, n + 1)
+        values, up, self._down = _tables(family, n + 1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[data] * _POWER[0][:n], out=self.sums[1:])
+        np.cumsum(values[data] * up[:n], out=self.sums[1:])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self.sums[ends] - self.sums[starts]) * _POWER[1][starts]
+        raw = (self.sums[ends] - self.sums[starts]) * self._down[starts]
         return mix(raw + (ends - starts).astype(np.uint64) * _ODD)
 
 
-_POWER: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
+def _tables(family: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of the bytes, powers of the base and of its inverse; kept while they fit."""
+    held = _KEPT.get(family)
+    if held is None or len(held[1]) < n:
+        base = _BASES[family]
+        inverse = pow(base, -1, 1 << 64)
+        values = mix(np.arange(1, 257, dtype=np.uint64) * _ODD + np.uint64(family))
+        size = max(n, BLOCK + 4096)
+        held = (
+            values,
+            _powers(np.uint64(base), size),
+            _powers(np.uint64(inverse), size),
+        )
+        if size <= 4 * BLOCK:
+            _KEPT[family] = held
+    return held
 
 
 def word_hashes(

@@ -14,6 +14,7 @@ from strata.llm import (
     divergence,
     html_text,
     minhash,
+    substrings,
     toxicity,
 )
 from strata.llm.frames import table
@@ -63,6 +64,20 @@ def op7_byte_cnn_quality(spark: SparkSession, d: str) -> DataFrame:
     return _classified(byte_cnn.score(docs, labels, ~held_out), held_out, 0.7)
 
 
+def op8_difference_cover_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = substrings.repeated_strings(table(spark, d, "documents"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.col("kept").alias("kept_sha256"),
+    )
+
+
 def op9_nb_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 5) == 0
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
@@ -82,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op3_distribution_divergence,
         op5_credential_linking,
         op7_byte_cnn_quality,
+        op8_difference_cover_dedup,
         op9_nb_ngram_toxicity,
         op10_entropy_balancing,
     )
