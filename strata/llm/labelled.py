@@ -22,19 +22,24 @@ def sample(
     """At most ``rows`` labelled texts of at most ``max_bytes``, with label 0 or 1.
 
     ``docs`` has doc_id and text; ``learn`` is a condition on doc_id. The rows are those
-    with the smallest hash of their id, so every run learns from the same ones. Of a
-    document labelled more than once the larger label counts.
+    labels with the smallest hash of their id, so every run learns from the same ones, and
+    only their texts are moved: the ids are at most ``rows``, which bounds the broadcast.
+    Of a document labelled more than once the larger label counts, of rows that repeat an
+    id the text that sorts first.
     """
     known = (
-        labels.filter(learn & F.col(label).isNotNull())
+        labels.filter(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(rows)
     )
-    short = docs.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= max_bytes)
+    texts = F.coalesce("text", F.lit(""))
     chosen = (
-        short.join(known, "doc_id")
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(rows)
+        docs.filter(F.octet_length(texts) <= max_bytes)
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min(texts).alias("text"))
+        .orderBy("doc_id")
     )
     return chosen.toPandas()
