@@ -15,6 +15,7 @@ from strata.llm import (
     html_text,
     minhash,
     substrings,
+    token_files,
     toxicity,
 )
 from strata.llm.frames import table
@@ -37,6 +38,20 @@ def op3_distribution_divergence(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *divergence.RESULT)
 
 
+def vocabulary() -> str:
+    """Path of the vocabulary file, from the package that ships it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_wavelet_tokens(spark: SparkSession, d: str) -> DataFrame:
+    how = token_files.Settings(vocabulary())
+    return token_files.read_documents(
+        token_files.write_shards(table(spark, d, "documents"), how)
+    )
+
+
 def op5_credential_linking(spark: SparkSession, d: str) -> DataFrame:
     found = credentials.scan(table(spark, d, "documents"))
     return found.select(
@@ -95,6 +110,7 @@ QUERIES: dict[str, Query] = {
         op1_minhash_odd_sketch,
         op2_text_tag_ratio,
         op3_distribution_divergence,
+        op4_wavelet_tokens,
         op5_credential_linking,
         op7_byte_cnn_quality,
         op8_difference_cover_dedup,
