@@ -13,8 +13,11 @@ import pyarrow as pa
 #: Bytes that are worked on at once; a longer text is worked on in pieces where it can be.
 BLOCK = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: ASCII white space.
+SPACES = np.zeros(256, dtype=bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+#: Everything in ASCII that is neither letter nor digit.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -101,12 +104,15 @@ def _tables(family: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = True
+    data: np.ndarray,
+    offsets: np.ndarray,
+    lower: bool = True,
+    separators: np.ndarray = SPACES,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the texts: hash, start, end, and how many words each text has.
 
-    Words are runs of bytes other than ASCII white space; they do not cross texts. Starts
-    and ends are positions in ``data``.
+    Words are runs of bytes other than separators; they do not cross texts. Starts and
+    ends are positions in ``data``.
     """
     hashes, starts, ends = [], [], []
     base = 0
@@ -114,12 +120,12 @@ def word_hashes(
         stop = min(base + BLOCK, len(data))
         if stop < len(data):
             # Cut before a space or between texts; a longer word is one piece.
-            gaps = np.flatnonzero(_SPACE[data[base + 1 : stop]])
+            gaps = np.flatnonzero(separators[data[base + 1 : stop]])
             cut = base + 1 + int(gaps[-1]) if len(gaps) else base
             at = int(np.searchsorted(offsets, stop, side="right")) - 1
             cut = max(cut, int(offsets[at]))
             if cut <= base:
-                rest = np.flatnonzero(_SPACE[data[stop:]])
+                rest = np.flatnonzero(separators[data[stop:]])
                 space = stop + int(rest[0]) if len(rest) else len(data)
                 text = int(offsets[np.searchsorted(offsets, stop)])
                 cut = min(space, text)
@@ -127,7 +133,7 @@ def word_hashes(
         piece = data[base:stop]
         if lower:
             piece = _LOWER[piece]
-        inside = ~_SPACE[piece]
+        inside = ~separators[piece]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cuts = offsets[(offsets > base) & (offsets < stop)] - base

@@ -11,6 +11,7 @@ from strata.llm import (
     balancing,
     byte_cnn,
     credentials,
+    decontamination,
     divergence,
     html_text,
     minhash,
@@ -73,6 +74,12 @@ def _classified(scores: DataFrame, held_out: Column, limit: float) -> DataFrame:
     )
 
 
+def op6_cgk_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.matches(
+        table(spark, d, "documents"), table(spark, d, "benchmark")
+    )
+
+
 def op7_byte_cnn_quality(spark: SparkSession, d: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 4) == 2
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
@@ -112,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op3_distribution_divergence,
         op4_wavelet_tokens,
         op5_credential_linking,
+        op6_cgk_decontamination,
         op7_byte_cnn_quality,
         op8_difference_cover_dedup,
         op9_nb_ngram_toxicity,
