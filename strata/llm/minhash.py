@@ -8,12 +8,15 @@ What is left is confirmed on the full sets, so every link is exact.
 
 No bucket is expanded into its pairs. Texts with equal sets are one node. In a first round
 each bucket links its members to its smallest node. Buckets whose members are then of one
-component are done; in the others only pairs of different components are tested, with the
-sketch inside the join, so a bucket costs pairs only as far as it is not one group. Hence
-no link between candidates is lost, while a group of near copies costs its size.
+component are done; in the others only pairs of different components are tested, with a
+sketch of many more samples inside the join, so a bucket costs pairs only as far as it is not one group. Of
+these, pairs go untested where too few shingles of one of them occur in any other
+component: texts at the rim of a large group have mostly edits of their own. Hence no link
+between candidates is lost, while a group of near copies costs its size.
 
 Recall: with 32 bands of 4 a pair at the limit of 0.75 misses every band with probability
-5e-6, and at 0.8 with 5e-8. The sketch limit lies 5 deviations below the similarity limit.
+5e-6, and at 0.8 with 5e-8. The limits of the coarse and the fine sketches lie more than
+4.5 deviations of their estimates below the similarity limit.
 
 Defined results: NULL, empty and blank texts have an empty set and are linked with nothing;
 a text of fewer than five words is one shingle of all its words; rows that repeat an id are
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.buffers import blocks, mix, utf8, word_hashes
+from strata.llm.buffers import BLOCK, blocks, mix, utf8, word_hashes
 from strata.llm.components import roots
 from strata.llm.frames import staged
 
@@ -46,18 +49,21 @@ class Settings:
     rows: int = 4
     sketch_words: int = 8
     sketch_percent: int = 50
+    fine_samples: int = 2048
+    fine_words: int = 128
+    fine_percent: int = 69
     seed: int = 11
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_bits(self) -> int:
-        """Differing sketch bits that are expected at ``sketch_percent`` similarity."""
-        bits = 64 * self.sketch_words
-        differing = 2 * self.samples * (1 - self.sketch_percent / 100)
-        return math.ceil(bits / 2 * (1 - math.exp(-2 * differing / bits)))
+
+def most_bits(samples: int, words: int, percent: int) -> int:
+    """Differing bits of two sketches that are expected at a similarity."""
+    bits = 64 * words
+    differing = 2 * samples * (1 - percent / 100)
+    return math.ceil(bits / 2 * (1 - math.exp(-2 * differing / bits)))
 
 
 def shingle_sets(
@@ -87,21 +93,21 @@ def shingle_sets(
     return sets
 
 
-def _signatures(sets: list[np.ndarray], how: Settings) -> np.ndarray:
+def _signatures(sets: list[np.ndarray], samples: int, seed: int) -> np.ndarray:
     """MinHash samples, a row for each set; an empty set has a row of no meaning."""
-    random = np.random.default_rng(how.seed)
-    factor = random.integers(0, 1 << 63, how.samples, dtype=np.uint64) * np.uint64(2)
+    random = np.random.default_rng(seed)
+    factor = random.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2)
     factor += np.uint64(1)
-    add = random.integers(0, 1 << 63, how.samples, dtype=np.uint64)
+    add = random.integers(0, 1 << 63, samples, dtype=np.uint64)
     full = [i for i, s in enumerate(sets) if len(s)]
-    out = np.zeros((len(sets), how.samples), dtype=np.uint64)
+    out = np.zeros((len(sets), samples), dtype=np.uint64)
     if not full:
         return out
     joined = np.concatenate([sets[i] for i in full])
     starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
-    found = np.empty((how.samples, len(full)), dtype=np.uint64)
+    found = np.empty((samples, len(full)), dtype=np.uint64)
     held = np.empty_like(joined)
-    for j in range(how.samples):
+    for j in range(samples):
         np.multiply(joined, factor[j], out=held)
         held += add[j]
         np.minimum.reduceat(held, starts, out=found[j])
@@ -117,10 +123,10 @@ def _bands(signatures: np.ndarray, how: Settings) -> np.ndarray:
     return mix((grouped * factors).sum(axis=2, dtype=np.uint64) + number)
 
 
-def odd_sketches(signatures: np.ndarray, how: Settings) -> np.ndarray:
+def odd_sketches(signatures: np.ndarray, words: int) -> np.ndarray:
     """Parity bitmaps: each sample flips one bit, chosen by its place and value."""
-    n, bits = len(signatures), 64 * how.sketch_words
-    place = mix(np.arange(1, how.samples + 1, dtype=np.uint64))
+    (n, samples), bits = signatures.shape, 64 * words
+    place = mix(np.arange(1, samples + 1, dtype=np.uint64))
     at = (mix(signatures + place) % np.uint64(bits)).astype(np.int64)
     flat = (np.arange(n)[:, None] * bits + at).ravel()
     parity = np.bincount(flat, minlength=n * bits).astype(np.uint8) & 1
@@ -146,7 +152,7 @@ def _features(docs: DataFrame, how: Settings) -> DataFrame:
                 sets = shingle_sets(
                     part, offsets[first : last + 1] - offsets[first], how.words
                 )
-                found = _signatures(sets, how)
+                found = _signatures(sets, how.samples, how.seed)
                 keys = [
                     np.array(
                         [f(s) if len(s) else 0 for s in sets], dtype=np.uint64
@@ -162,7 +168,7 @@ def _features(docs: DataFrame, how: Settings) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         *[pa.array(k) for k in keys],
                         _lists(_bands(found, how)),
-                        _lists(odd_sketches(found, how)),
+                        _lists(odd_sketches(found, how.sketch_words)),
                     ],
                     names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
                 )
@@ -198,29 +204,60 @@ def _sets(docs: DataFrame, how: Settings) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _close(a: str, b: str, how: Settings) -> Column:
-    """Whether sizes allow the similarity and the sketches do not speak against it."""
-    bits = reduce(
+def _fine_sketches(sets: DataFrame, how: Settings) -> DataFrame:
+    """Sketches of many samples for a few nodes, from their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column(1)
+            for first, last in blocks(np.array(shingles.offsets), BLOCK // 8):
+                part = [
+                    x.values.to_numpy().view(np.uint64)
+                    for x in shingles.slice(first, last - first)
+                ]
+                found = _signatures(part, how.fine_samples, how.seed + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first),
+                        _lists(odd_sketches(found, how.fine_words)),
+                    ],
+                    names=["node", "fine"],
+                )
+
+    return sets.mapInArrow(run, "node long, fine array<long>")
+
+
+def _differing(a: Column, b: Column, words: int) -> Column:
+    return reduce(
         lambda x, y: x + y,
-        [
-            F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
-            for i in range(how.sketch_words)
-        ],
+        [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(words)],
     )
+
+
+def _differing_fine(a: Column, b: Column) -> Column:
+    """The same for long sketches, where a term for each word would be too much code."""
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+
+
+def _close(a: str, b: str, how: Settings) -> Column:
+    """Whether sizes allow the similarity and the sketches do not speak against it."""
     sizes = [F.col(f"{x}.n_shingles") for x in (a, b)]
+    sketches = [F.col(f"{x}.sketch") for x in (a, b)]
     return (100 * F.least(*sizes) >= how.percent * F.greatest(*sizes)) & (
-        bits <= how.most_bits
+        _differing(*sketches, how.sketch_words)
+        <= most_bits(how.samples, how.sketch_words, how.sketch_percent)
     )
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, how: Settings
-) -> DataFrame:
+def _full_sets(docs: DataFrame, nodes: DataFrame, how: Settings) -> DataFrame:
+    """Staged sets of the nodes, read from the texts again."""
+    texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
+    return staged(_sets(texts, how), "shingle-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, how: Settings) -> DataFrame:
     """Of the pairs ``(u, v)`` those whose full sets are similar enough."""
-    pairs = staged(pairs, "candidates")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = docs.join(ends, docs["doc_id"] == ends["node"], "left_semi")
-    sets = staged(_sets(texts, how), "shingle-sets")
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -233,6 +270,27 @@ def _confirmed(
     )
 
 
+def _shareable(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """How many shingles of each node also occur in a node of another component.
+
+    No node can have more in common with any node that it is not yet tied to.
+    """
+    each = sets.join(labels, "node").select(
+        "node", "root", F.explode("shingles").alias("shingle")
+    )
+    spread = (
+        each.groupBy("shingle")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter(F.col("low") != F.col("high"))
+        .select("shingle")
+    )
+    return (
+        each.join(spread, "shingle", "left_semi")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("shareable"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", how: Settings = Settings()
 ) -> DataFrame:
@@ -251,7 +309,7 @@ def near_duplicates(
         .dropDuplicates(["node", "bands"]),
         "minhash-nodes",
     )
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     hubs = banded.groupBy("bucket").agg(
         F.min("node").alias("hub"), F.max("node").alias("last")
     )
@@ -274,21 +332,39 @@ def near_duplicates(
     )
     # Every confirmation needs only the text of a node's own row.
     own = docs.join(nodes.select("node"), docs["doc_id"] == F.col("node"), "left_semi")
-    links = staged(_confirmed(stars, own, how), "links")
+    stars = staged(stars, "candidates")
+    ends = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    links = staged(_confirmed(stars, _full_sets(own, ends, how), how), "links")
     first = roots(links)
-    mixed = _mixed_buckets(shared, first, sketches)
+    mixed = _mixed_buckets(shared, first, nodes)
+    members = mixed.select("node", "root").distinct()
+    sets = _full_sets(own, members.select("node"), how)
+    known = _shareable(sets, members).join(_fine_sketches(sets, how), "node")
+    mixed = staged(mixed.join(known, "node"), "minhash-mixed")
+    most = F.least("a.shareable", "b.shareable")
+    # A pair is tested in the first band that it shares.
+    same = F.zip_with("a.bands", "b.bands", lambda x, y: x == y)
     rest = (
         mixed.alias("a")
         .join(
             mixed.alias("b"),
             (F.col("a.bucket") == F.col("b.bucket"))
             & (F.col("a.root") < F.col("b.root"))
-            & _close("a", "b", how),
+            & (
+                100 * most
+                >= how.percent * (F.col("a.n_shingles") + F.col("b.n_shingles") - most)
+            )
+            & _close("a", "b", how)
+            & (
+                _differing_fine(F.col("a.fine"), F.col("b.fine"))
+                <= most_bits(how.fine_samples, how.fine_words, how.fine_percent)
+            )
+            & (F.array_position(same, F.lit(True)) == F.col("a.band") + 1),
         )
         .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
         .distinct()
     )
-    more = staged(_confirmed(rest, own, how), "links")
+    more = staged(_confirmed(staged(rest, "candidates"), sets, how), "links")
     last = roots(links.unionAll(more)) if not more.isEmpty() else first
     labelled = classes.join(last, "node", "left").select(
         "k1", "k2", F.coalesce("root", "node").alias("component")
@@ -311,7 +387,7 @@ def near_duplicates(
 
 
 def _mixed_buckets(
-    shared: DataFrame, labels: DataFrame, sketches: DataFrame
+    shared: DataFrame, labels: DataFrame, nodes: DataFrame
 ) -> DataFrame:
     """Members of the buckets that hold more than one component, but for their hubs.
 
@@ -328,8 +404,8 @@ def _mixed_buckets(
         .select("bucket")
     )
     return staged(
-        others.join(several, "bucket").join(sketches, "node").drop("hub"),
-        "minhash-mixed",
+        others.join(several, "bucket").join(nodes, "node").drop("hub"),
+        "minhash-members",
     )
 
 
