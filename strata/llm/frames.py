@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sources.tables import new_folder
@@ -10,17 +13,20 @@ from strata.sources.tables import new_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def _importable(spark: SparkSession) -> None:
+    """Let local Python workers import this package from where it lies.
 
+    On a cluster it is installed or shipped like any other package.
+    """
+    root, held = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in held.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        held["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
-def unused(df: DataFrame, base: str) -> str:
-    """A column name that the frame does not have, whatever the case of its names."""
-    taken = {c.lower() for c in df.columns}
-    name = base
-    while name.lower() in taken:
-        name = f"{name}_"
-    return name
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _importable(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
