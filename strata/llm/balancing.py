@@ -134,7 +134,8 @@ def solve(
             gap = gap - cross @ np.clip(step_f, -1, 1)
         for s, step in zip(free, gap / slope):
             multiplier[s] -= float(np.clip(step, -1, 1))
-    return {s: multiplier.get(s, 0.0) for s in sizes}, tilt
+    # Sums of floats depend on their order in the last digits; rounded, reruns agree.
+    return {s: round(multiplier.get(s, 0.0), 7) for s in sizes}, np.round(tilt, 7)
 
 
 def _rate(columns: Sequence[str], tilt: Sequence[float], mix: Mix) -> Column:

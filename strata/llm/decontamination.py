@@ -265,23 +265,20 @@ def distance(item: list[int], text: list[int], most: int) -> int | None:
     common = sum((Counter(item) & Counter(text)).values())
     if len(item) - common > most:
         return None
-    # Row j: distances of the item's first j words to each beginning of the text.
+    # Row j: distances of the item's first j words to each beginning of the text, in the
+    # band that ``most`` edits can reach; all others are too far.
+    far = most + 1
     row = list(range(len(text) + 1))
     for j, word in enumerate(item, 1):
-        above, row = row, [j] + [0] * len(text)
+        above, row = row, [j] + [far] * len(text)
         low, high = max(1, j - most), min(len(text), j + most)
-        if low > 1:
-            row[low - 1] = most + 1
         for i in range(low, high + 1):
             row[i] = min(
-                above[i - 1] + (word != text[i - 1]),
-                row[i - 1] + 1,
-                (above[i] if i < j + most else most) + 1,
+                above[i - 1] + (word != text[i - 1]), row[i - 1] + 1, above[i] + 1
             )
-        if min(row[max(0, low - 1) : high + 1]) > most:
+        if min(row) > most:
             return None
-    low = max(0, len(item) - most)
-    best = min(row[low:], default=most + 1)
+    best = min(row)
     return best if best <= most else None
 
 
