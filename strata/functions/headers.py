@@ -18,7 +18,7 @@ def snake_case_all(names: Sequence[str]) -> list[str]:
     normalized = [snake_case(n) for n in names]
     clashes = sorted(n for n, times in Counter(normalized).items() if times > 1)
     if clashes:
-        raise ValueError(f"Column normalization produced duplicate names: {clashes}")
+        raise ValueError(f"Two headers have one name after normalization: {clashes}")
     return normalized
 
 

@@ -12,6 +12,13 @@ NULL_MARK = "<null>"
 KEY_SEPARATOR = "|"
 HASH_SEPARATOR = "||"
 
+# Columns that checks and deduplication attach to rows on their way; no data.
+ISSUES = "__issues"
+HASH = "__row_hash"
+COPIES = "__copies"
+CONFLICT = "__conflict"
+HELPERS = (ISSUES, HASH, COPIES, CONFLICT)
+
 # Lineage columns say where a row came from, not what it holds.
 LINEAGE_COLUMNS = ("source_file_path", "run_id", "processed_at")
 
@@ -31,10 +38,8 @@ def record_key(parts: Sequence[str | Column]) -> Column:
 
 
 def content_columns(columns: Sequence[str]) -> list[str]:
-    """Columns that hold data: neither lineage nor ``__`` helper columns."""
-    return sorted(
-        c for c in columns if c not in LINEAGE_COLUMNS and not c.startswith("__")
-    )
+    """Columns that hold data: all but lineage and the named helper columns."""
+    return sorted(c for c in columns if c not in (*LINEAGE_COLUMNS, *HELPERS))
 
 
 def row_hash(columns: Sequence[str], strict: bool = False) -> Column:

@@ -50,12 +50,9 @@ def nullify_placeholders(
 ) -> DataFrame:
     """Turn every spelling of "missing" in string columns into NULL."""
     words = sorted({t.strip().lower() for t in tokens})
-    longest = max(len(w.encode()) for w in words)
 
     def known(value: Column) -> Column:
-        text = F.trim(value)
-        # Only short values are compared, so long ones cost one length test.
-        return F.when((F.octet_length(text) > longest) | ~F.lower(text).isin(words), value)
+        return F.when(~F.lower(F.trim(value)).isin(words), value)
 
     return _map_strings(df, known)
 

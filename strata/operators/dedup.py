@@ -12,13 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import content_columns, record_key, row_hash
+from strata.functions.keys import (
+    CONFLICT,
+    COPIES,
+    HASH,
+    HELPERS,
+    content_columns,
+    record_key,
+    row_hash,
+)
 from strata.operators.quality import Dataset
 
-HASH = "__row_hash"
-COPIES = "__copies"
-CONFLICT = "__conflict"
-
 
 def with_row_hash(df: DataFrame, strict: bool = False) -> DataFrame:
     """Add the content hash in binary form, half the size of its hex text."""
@@ -36,21 +40,28 @@ def deduplicate(
 ) -> DataFrame:
     """Keep the row with the smallest content hash per key; NULL keys are one group.
 
-    ``counted`` adds the number of rows each kept row stands for. Without any of the
-    key columns the frame passes through.
+    ``counted`` adds the number of rows each kept row stands for and whether they
+    differ, so that the repeated keys come from the same aggregate. Without any of the
+    key columns the frame passes through. Of the input, only the named helper columns
+    are dropped.
     """
     keys = _present(df, keys)
-    columns = [c for c in df.columns if not c.startswith("__")]
-    count = [F.col(COPIES)] if counted else []
+    columns = [c for c in df.columns if c not in HELPERS]
+    count = [F.col(COPIES), F.col(CONFLICT)] if counted else []
     if not keys:
-        return df.withColumn(COPIES, F.lit(1).cast("long")).select(*columns, *count)
+        alone = {COPIES: F.lit(1).cast("long"), CONFLICT: F.lit(False)}
+        return df.withColumns(alone).select(*columns, *count)
     hashed = with_row_hash(df, strict)
     rest = [c for c in columns if c not in keys]
     # Equal hashes fall back to the row content, so the choice is deterministic.
     smallest = F.min(F.struct(HASH, *content_columns(rest), *_lineage(rest)))
+    largest = [F.max(HASH).alias("__largest")] if counted else []
     kept = hashed.groupBy(*keys).agg(
-        smallest.alias("__kept"), F.count(F.lit(1)).alias(COPIES)
+        smallest.alias("__kept"), F.count(F.lit(1)).alias(COPIES), *largest
     )
+    if counted:
+        differ = F.col(f"__kept.{HASH}") != F.col("__largest")
+        kept = kept.withColumn(CONFLICT, differ)
     return kept.select(
         *[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in columns],
         *count,
@@ -86,17 +97,27 @@ def duplicate_issues(
 ) -> DataFrame | None:
     """One issue per repeated key: a warning for exact copies, else an error."""
     keys = _present(df, keys)
+    if not keys:
+        return None
+    return repeated_issues(duplicate_keys(df, keys, strict), keys, dataset)
+
+
+def repeated_issues(
+    counted: DataFrame, keys: Sequence[str], dataset: Dataset
+) -> DataFrame | None:
+    """The same from rows that carry their number of copies and the conflict flag."""
+    keys = _present(counted, keys)
     if not keys:
         return None
     copies = F.col(COPIES).cast("string")
-    found = duplicate_keys(df, keys, strict).select(
+    found = counted.filter(F.col(COPIES) > 1).select(
         record_key(keys).alias("record_key"),
         F.when(F.col(CONFLICT), "error").otherwise("warning").alias("severity"),
         F.when(F.col(CONFLICT), "conflicting_duplicate_key")
         .otherwise("exact_duplicate_key")
         .alias("rule_name"),
         F.concat(
-            F.lit("Found "), copies, F.lit(" rows for the same business key.")
+            copies, F.lit(" rows share this business key.")
         ).alias("issue_message"),
         copies.alias("raw_value"),
     )

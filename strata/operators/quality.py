@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.amounts import safe_cast
-from strata.functions.keys import record_key
+from strata.functions.keys import ISSUES, record_key
 from strata.operators.clean import keep_required
 
-ISSUES = "__issues"
 
 # The layout of the issue table.
 ISSUE_SCHEMA = T.StructType(
@@ -88,7 +87,7 @@ class Matches:
             _key(self.key, values),
             self.severity,
             "invalid_format",
-            f"{self.column!r} does not match the expected pattern {self.pattern!r}.",
+            f"The value of {self.column!r} is not of the form {self.pattern!r}.",
             value.cast("string"),
         )
 
@@ -137,7 +136,7 @@ class Required:
             _key(self.key, values),
             "error",
             "missing_required_value",
-            f"Required field {self.column!r} is null.",
+            f"{self.column!r} must have a value.",
             F.lit(self.column),
         )
 
@@ -196,7 +195,7 @@ def annotate(
                 _key(cast_key, values),
                 "error",
                 "invalid_type_cast",
-                f"Could not cast {column!r} to {type_name!r}.",
+                f"The value of {column!r} is no {type_name!r}.",
                 raw.cast("string"),
             )
         )
@@ -254,7 +253,7 @@ def missing_column_rows(
     present = set(columns)
     missing = [
         (None, "error", "missing_required_column",
-         f"Required column {c!r} was not found.", c)
+         f"The source has no column {c!r}.", c)
         for c in required
         if c not in present
     ]

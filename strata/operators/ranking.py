@@ -1,8 +1,8 @@
 """Dense ranks and top rows.
 
-A ranking window gathers each group in one task. That is right while groups are
-small; a group above a row limit is ranked in ranges instead, so that no task
-holds the whole group.
+A ranking window gathers each group in one task. Here a group is split first, by steps of
+its leading order column, and ranked within a step; what comes before a step is a count of
+distinct values. One lazy plan does this for groups of any size.
 """
 
 from __future__ import annotations
@@ -13,10 +13,34 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.sources.tables import stage
+_STEP, _SIZE, _BEFORE = "__step", "__step_size", "__ranks_before"
 
-GROUP_ROWS = 5_000_000
+
+def _sort(order: Sequence[tuple[str, str]]) -> list[Column]:
+    return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
+
+
+def order_step(df: DataFrame, column: str) -> Column:
+    """A coarser value in the same order, a function of the value alone.
+
+    Numbers and times go by their sign and 256 steps for each doubling, texts by their
+    first two characters; NULL stays NULL. Other types are one step.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.StringType):
+        return F.substring(value, 1, 2)
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        value = value.cast("timestamp").cast("double")
+    elif isinstance(kind, (T.NumericType, T.TimestampType)):
+        value = value.cast("double")
+    else:
+        return F.when(value.isNotNull(), F.lit(0))
+    step = F.floor(F.log2(F.abs(value) + 1) * 256)
+    # NaN sorts above all numbers; it shares the last step with infinity.
+    last = F.lit(2**63 - 1)
+    return F.when(F.isnan(value), last).otherwise((F.signum(value) * step).cast("long"))
 
 
 def dense_rank(
@@ -24,41 +48,32 @@ def dense_rank(
     groups: Sequence[str],
     order: Sequence[tuple[str, str]],
     name: str = "rank",
-    max_group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Rank rows within their group; equal order values share a rank.
 
-    ``order`` lists ``(column, "asc" | "desc")``; NULL sorts first ascending and
-    last descending. One job counts the rows per group. Groups above
-    ``max_group_rows`` go through ``dense_rank_by_ranges``; ``None`` skips the
-    count and ranks every group by the window.
+    ``order`` lists ``(column, "asc" | "desc")``; NULL sorts first ascending and last
+    descending. The distinct values are counted by group and step, reduced in each task
+    first, and summed over the steps of a group, of which there are few. The rows of a
+    step are ranked in one task; only rows that tie in the leading step stay together.
     """
-    if max_group_rows is None:
-        return dense_rank_by_window(df, groups, order, name)
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"))
-    # At most rows / max_group_rows groups are large; the staged list has a known
-    # size, so Spark broadcasts it when it is below the session's threshold.
-    large = stage(sizes.filter(F.col("__rows") > max_group_rows), "large-groups")
-    rows = large.agg(F.sum("__rows")).first()[0]
-    if rows is None:
-        return dense_rank_by_window(df, groups, order, name)
-    large = large.drop("__rows")
-    same = reduce(and_, [df[g].eqNullSafe(large[g]) for g in groups])
-    small = df.join(large, same, "left_anti")
-    ranges = max(_partitions(df), rows // GROUP_ROWS + 1)
-    return dense_rank_by_window(small, groups, order, name).unionByName(
-        dense_rank_by_ranges(
-            df.join(large, same, "left_semi"), groups, order, name, ranges
-        )
+    lead, way = order[0]
+    stepped = df.withColumn(_STEP, order_step(df, lead))
+    counts = (
+        stepped.select(*groups, _STEP, *[c for c, _ in order])
+        .distinct()
+        .groupBy(*groups, _STEP)
+        .agg(F.count(F.lit(1)).alias(_SIZE))
+    )
+    earlier = Window.partitionBy(*groups).orderBy(*_sort([(_STEP, way)]))
+    before = counts.select(
+        *groups, _STEP, (F.sum(_SIZE).over(earlier) - F.col(_SIZE)).alias(_BEFORE)
+    )
+    local = Window.partitionBy(*groups, _STEP).orderBy(*_sort(order))
+    return (
+        _join_null_safe(stepped, before, [*groups, _STEP], "inner")
+        .withColumn(name, (F.col(_BEFORE) + F.dense_rank().over(local)).cast("int"))
+        .drop(_STEP, _BEFORE)
     )
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _sort(order: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
 
 
 def dense_rank_by_window(
@@ -67,54 +82,11 @@ def dense_rank_by_window(
     order: Sequence[tuple[str, str]],
     name: str = "rank",
 ) -> DataFrame:
+    """The same by one window, for groups that are known to be small."""
     window = Window.partitionBy(*groups).orderBy(*_sort(order))
     return df.withColumn(name, F.dense_rank().over(window))
 
 
-def dense_rank_by_ranges(
-    df: DataFrame,
-    groups: Sequence[str],
-    order: Sequence[tuple[str, str]],
-    name: str = "rank",
-    ranges: int | None = None,
-) -> DataFrame:
-    """The same ranks for groups of any size.
-
-    The distinct order values are sorted into ranges across the cluster and staged
-    with their range number. A rank is the rank within the range plus the number of
-    distinct values in the group's earlier ranges; the latter is a running sum over
-    at most one row per group and range. ``ranges`` should grow with the rows, so that
-    one range fits a task; ``dense_rank`` derives it from the group sizes.
-    """
-    columns = [c for c, _ in order]
-    ranges = ranges or _partitions(df)
-    values = df.select(*groups, *columns).distinct()
-    ranged = stage(
-        values.repartitionByRange(
-            ranges, *[F.col(g) for g in groups], *_sort(order)
-        ).withColumn("__range", F.spark_partition_id()),
-        "ranges",
-    )
-    earlier = Window.partitionBy(*groups).orderBy("__range")
-    offsets = (
-        ranged.groupBy(*groups, "__range")
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .withColumn("__before", F.sum("__size").over(earlier) - F.col("__size"))
-    )
-    local = Window.partitionBy(*groups, "__range").orderBy(*_sort(order))
-    ranked = (
-        _join_null_safe(
-            ranged.withColumn("__local", F.row_number().over(local)),
-            offsets.drop("__size"),
-            [*groups, "__range"],
-            "inner",
-        )
-        .withColumn(name, (F.col("__before") + F.col("__local")).cast("int"))
-        .select(*groups, *columns, name)
-    )
-    return _join_null_safe(df, ranked, [*groups, *columns], "inner")
-
-
 def _join_null_safe(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str
 ) -> DataFrame:

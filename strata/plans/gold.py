@@ -1,7 +1,7 @@
 """Dimensional views over the clean tables: one dimension, two facts, four bridges.
 
-Each function takes the clean tables by name and returns a lazy DataFrame; only
-the ranked bridges run a job, to see whether a group is too large for a window.
+Each function takes the clean tables by name and returns a lazy DataFrame. The output
+columns of each are fixed values: the layout of the published views.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from strata.functions.codes import (
 from strata.functions.keys import LINEAGE_COLUMNS
 from strata.functions.periods import observation_date, period_type
 from strata.operators.lookups import left_lookup, unique_lookup
-from strata.operators.ranking import GROUP_ROWS, dense_rank
+from strata.operators.ranking import dense_rank
 
 Tables = Mapping[str, DataFrame]
 
@@ -215,9 +215,7 @@ def _with_title(df: DataFrame, tables: Tables, **more: str) -> DataFrame:
     )
 
 
-def bridge_occupation_education(
-    tables: Tables, max_group_rows: int | None = GROUP_ROWS
-) -> DataFrame:
+def bridge_occupation_education(tables: Tables) -> DataFrame:
     """Education categories of a detailed occupation, ranked by response value."""
     answered = tables["onet_education"].filter(F.col("data_value").isNotNull())
     # Ranked before the joins, so the window carries no looked-up text.
@@ -235,7 +233,6 @@ def bridge_occupation_education(
         groups=["onet_soc_code", "element_id", "scale_id"],
         order=[("education_response_value", "desc"), ("category", "asc")],
         name="education_rank",
-        max_group_rows=max_group_rows,
     )
     described = left_lookup(
         ranked,
@@ -259,9 +256,7 @@ def bridge_occupation_education(
     )
 
 
-def bridge_occupation_skill(
-    tables: Tables, max_group_rows: int | None = GROUP_ROWS
-) -> DataFrame:
+def bridge_occupation_skill(tables: Tables) -> DataFrame:
     """Essential and transferable skills of a detailed occupation, ranked by score."""
     columns = [
         "onet_soc_code",
@@ -289,7 +284,6 @@ def bridge_occupation_skill(
         groups=["onet_soc_code", "skill_family", "scale_id"],
         order=[("skill_score", "desc"), ("skill_name", "asc")],
         name="skill_rank",
-        max_group_rows=max_group_rows,
     )
     return _with_title(ranked, tables).select(
         "onet_soc_code",

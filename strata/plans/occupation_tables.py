@@ -188,7 +188,7 @@ JOB_ZONES = _spec(
             5,
             key="onet_soc_code",
             rule="invalid_job_zone",
-            message="Job Zone must be between 1 and 5.",
+            message="A job zone is a number from 1 to 5.",
         ),
     ),
     required=("onet_soc_code", "soc_code", "job_zone"),

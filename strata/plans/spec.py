@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.functions.keys import CONFLICT, COPIES
 from strata.operators.clean import Field, base_frame, select_fields
-from strata.operators.dedup import deduplicate, duplicate_issues, with_row_hash
+from strata.operators.dedup import deduplicate, repeated_issues, with_row_hash
 from strata.operators.quality import (
     Dataset,
     InRange,
@@ -113,16 +115,26 @@ class Finished:
         staged = stage(with_row_hash(annotated), dataset.name)
         return cls(staged, missing, required, key, dataset)
 
-    def _valid(self) -> DataFrame:
-        return valid_rows(self.staged, self.required)
+    @cached_property
+    def counted(self) -> DataFrame:
+        """One row per key with its number of copies: the one shuffle of the table.
 
-    def clean(self, counted: bool = False) -> DataFrame:
+        Staged, since both the clean rows and the repeated keys are read from it.
+        """
+        valid = valid_rows(self.staged, self.required)
+        return stage(deduplicate(valid, self.key, counted=True), self.dataset.name)
+
+    def clean(self) -> DataFrame:
         """Rows with every required value, one per key."""
-        return deduplicate(self._valid(), self.key, counted=counted)
-
-    def issues(self, repeated: bool = True) -> DataFrame:
-        """All issues; ``repeated=False`` when no key is known to repeat."""
-        frames = [self.missing, issue_rows(self.staged, self.dataset)]
-        if repeated:
-            frames.append(duplicate_issues(self._valid(), self.key, self.dataset))
-        return union_issues(self.staged.sparkSession, frames)
+        return self.counted.drop(COPIES, CONFLICT)
+
+    def issues(self) -> DataFrame:
+        """All issues: absent columns, findings of the rows, repeated keys."""
+        return union_issues(
+            self.staged.sparkSession,
+            [
+                self.missing,
+                issue_rows(self.staged, self.dataset),
+                repeated_issues(self.counted, self.key, self.dataset),
+            ],
+        )

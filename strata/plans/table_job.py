@@ -8,14 +8,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import groupby
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.dedup import COPIES
 from strata.operators.quality import union_issues
 from strata.plans.spec import Finished, TableSpec
-from strata.sources.tables import DEFAULT_FORMAT, write_table
+from strata.sources.tables import DEFAULT_FORMAT, owned_stages, write_table
 
 # The layout of the audit table, and the names of both logs.
 AUDIT_SCHEMA = T.StructType(
@@ -112,8 +111,18 @@ class TableJob:
         ``paths`` maps table name to source path. All tables of a system are planned
         before the first one is written, so a source that lost a column changes no
         table. A failure stops the run: the audit is appended, the issues are not,
-        and the cause is chained to the error.
+        and the cause is chained to the error. The stages of the run are deleted at its
+        end, however it ends.
         """
+        with owned_stages(self.spark):
+            return self._run(specs, paths, run_id)
+
+    def _run(
+        self,
+        specs: Sequence[TableSpec],
+        paths: Mapping[str, str],
+        run_id: str | None,
+    ) -> RunResult:
         run_id = run_id or str(uuid.uuid4())
         run_time = utc_now()
         audit = Audit(run_id)
@@ -139,25 +148,15 @@ class TableJob:
         return RunResult(run_id, {r[2]: r[4] for r in audit.rows}, issue_count)
 
     def _write(self, finished: Finished, audit: Audit) -> DataFrame:
-        """Write the clean rows of one table and return its issues.
-
-        The keys that repeat are counted during the write; the pass that lists them
-        is left out when there are none.
-        """
+        """Write the clean rows of one table and return its issues."""
         name = finished.dataset.name
-        repeated = Observation()
-        clean = (
-            finished.clean(counted=True)
-            .observe(repeated, F.count_if(F.col(COPIES) > 1).alias("keys"))
-            .drop(COPIES)
-        )
         audit.write(
-            clean,
+            finished.clean(),
             finished.dataset.source_system,
             self.table_name(name),
             **self._options(name),
         )
-        return finished.issues(repeated=repeated.get["keys"] > 0)
+        return finished.issues()
 
     def _append_issues(self, frames: list[DataFrame]) -> int:
         return write_table(

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.headers import fill_header
 from strata.operators.clean import drop_empty_rows
-
-BROADCAST_FILES = 100_000
+from strata.sources.tables import stage
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t") -> DataFrame:
@@ -30,55 +30,65 @@ def read_with_header_offset(
 ) -> DataFrame:
     """Delimited file whose header is line ``header_row``, counted from zero.
 
-    The lines before it are a preamble and are skipped; a folder may hold several
-    files that all start with the same preamble and header. Blank cells become NULL;
-    rows and columns without any value are dropped. Small jobs run here: reading the
-    lines up to the header, and one aggregate that finds the columns with a value.
+    The lines before it are a preamble and are skipped. A folder may hold several files;
+    each is read by its own header, so their columns may be in any order, but they must
+    be the same columns. Blank cells become NULL; rows and columns without any value are
+    dropped. The rows are parsed once, into a stage that tells which columns hold values.
     """
-    lines = spark.read.text(path)
-    files = lines.inputFiles()
-    if not files:
-        raise ValueError(f"No usable rows were found in {path}")
-    head = spark.read.text(files[0]).limit(header_row + 1).collect()
-    if len(head) <= header_row:
-        raise ValueError(f"No usable rows were found in {path}")
-    names = fill_header(next(csv.reader([head[header_row].value], delimiter=delimiter)))
-    parsed = (
-        _after_line(lines, header_row, len(files))
-        .select(F.from_csv("value", _ddl(names), {"sep": delimiter}).alias("row"))
-        .select("row.*")
+    numbered = _numbered(spark.read.text(path))
+    headers = stage(_headers(numbered, header_row), "headers")
+    # One row for each spelling of the header, however many files there are.
+    spellings = (
+        headers.groupBy("__header").agg(F.min("__file").alias("file")).orderBy("file")
+    ).collect()
+    if not spellings:
+        raise ValueError(f"{path} has no line {header_row + 1} to take a header from")
+    names = {
+        r["__header"]: fill_header(next(csv.reader([r["__header"]], delimiter=delimiter)))
+        for r in spellings
+    }
+    first = names[spellings[0]["__header"]]
+    for r in spellings:
+        if sorted(names[r["__header"]]) != sorted(first):
+            raise ValueError(
+                f"{r['file']} has the columns {names[r['__header']]}, "
+                f"but {spellings[0]['file']} has {first}"
+            )
+    rows = numbered.join(headers, "__file").filter(
+        ~F.col("__opening") | (F.col("__id") - F.col("__first") > header_row)
     )
-    return drop_empty_columns(drop_empty_rows(parsed), path)
+    parsed = [
+        rows.filter(F.col("__header") == header)
+        .select(F.from_csv("value", _ddl(own), {"sep": delimiter}).alias("row"))
+        .select(*[F.col("row").getField(n).alias(n) for n in first])
+        for header, own in names.items()
+    ]
+    kept = drop_empty_rows(reduce(DataFrame.unionAll, parsed))
+    return drop_empty_columns(stage(kept, "parsed"), path)
 
 
-def _after_line(lines: DataFrame, last: int, files: int) -> DataFrame:
-    """The lines of each file after its line ``last``, without sorting or shuffling.
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their file and an id that grows by one per line within a task.
 
-    Within a task the ids grow by one per line, in file order. The block that opens a
-    file is read first to last by one task, so a line of that block is known by its
-    distance from the block's first id; all other blocks lie beyond the header.
+    The block that opens a file is read first to last by one task, so a line of that
+    block is known by its distance from the block's first id.
     """
-    numbered = lines.select(
+    return lines.select(
         "value",
         F.monotonically_increasing_id().alias("__id"),
         F.col("_metadata.file_path").alias("__file"),
         (F.col("_metadata.file_block_start") == 0).alias("__opening"),
     )
-    if files == 1:
-        # The first block of a single file opens partition 0, whose ids start at zero.
-        return numbered.filter(F.col("__id") > last).select("value")
-    first = (
-        numbered.filter("__opening")
-        .groupBy("__file")
-        .agg(F.min("__id").alias("__first"))
-    )
-    # One row per file, and the number of files is known here.
-    if files <= BROADCAST_FILES:
-        first = F.broadcast(first)
+
+
+def _headers(numbered: DataFrame, header_row: int) -> DataFrame:
+    """For each file its header line and the id of its first line."""
+    opening = numbered.filter("__opening")
+    first = opening.groupBy("__file").agg(F.min("__id").alias("__first"))
     return (
-        numbered.join(first, "__file")
-        .filter(~F.col("__opening") | (F.col("__id") - F.col("__first") > last))
-        .select("value")
+        opening.join(first, "__file")
+        .filter(F.col("__id") - F.col("__first") == header_row)
+        .select("__file", "__first", F.col("value").alias("__header"))
     )
 
 
@@ -92,5 +102,5 @@ def drop_empty_columns(df: DataFrame, path: str = "the source") -> DataFrame:
     filled = df.agg(*[F.count(F.col(q)) for q in quoted]).first()
     kept = [F.col(q) for q, values in zip(quoted, filled) if values]
     if not kept:
-        raise ValueError(f"No usable rows were found in {path}")
+        raise ValueError(f"{path} holds no value in any column")
     return df.select(*kept)

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Outcomes of a fetch.
@@ -22,10 +22,15 @@ class ExpectedFile:
     source_url: str = ""
     required: bool = True
 
+    @property
+    def relative_path(self) -> str:
+        """Where the file belongs: in the folder of its group, if it has one."""
+        return f"{self.source_group}/{self.file_name}".lstrip("/")
+
 
 _EXPECTED_DDL = (
     "source string, source_group string, file_name string, description string, "
-    "source_url string, required boolean"
+    "source_url string, required boolean, relative_path string"
 )
 
 
@@ -42,33 +47,76 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     )
 
 
+def scanned_files(df: DataFrame) -> DataFrame:
+    """Rows and size of each file that a scan reads, from the metadata of its rows."""
+    return (
+        df.select(
+            F.col("_metadata.file_path").alias("raw_file_path"),
+            F.col("_metadata.file_size").alias("bytes_written"),
+        )
+        .groupBy("raw_file_path")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"), F.max("bytes_written").alias("bytes_written")
+        )
+    )
+
+
+def _expected(spark: SparkSession, expected: Sequence[ExpectedFile]) -> DataFrame:
+    rows = [(*astuple(e), e.relative_path) for e in expected]
+    return spark.createDataFrame(rows, _EXPECTED_DDL)
+
+
 def manifest(
     spark: SparkSession,
     expected: Sequence[ExpectedFile],
     path: str,
     fetched_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """One row per expected file; a missing or empty file counts as failed."""
-    wanted = spark.createDataFrame([astuple(e) for e in expected], _EXPECTED_DDL)
-    found = list_files(spark, path)
-    arrived = F.col("raw_file_path").isNotNull()
-    return wanted.join(found, "file_name", "left").select(
-        "source",
-        "source_group",
-        "description",
-        "source_url",
-        "file_name",
+    """One row per expected file; a missing or empty file counts as failed.
+
+    A file is known by its path under ``path``, so files of one name in the folders of
+    different groups do not stand for each other.
+    """
+    wanted = _expected(spark, expected)
+    under = path.rstrip("/").split(":", 1)[-1] + "/"
+    start = F.locate(under, F.col("raw_file_path")) + len(under)
+    found = (
+        list_files(spark, path)
+        .withColumn("relative_path", F.col("raw_file_path").substr(start, F.lit(1 << 20)))
+        .drop("file_name")
+    )
+    return wanted.join(found, "relative_path", "left").select(
+        *_DESCRIPTION,
         "raw_file_path",
         "required",
-        F.when(arrived, SUCCESS).otherwise(FAILED).alias("download_status"),
+        *_outcome(F.col("raw_file_path").isNotNull()),
         F.coalesce("bytes_written", F.lit(0)).alias("bytes_written"),
-        F.when(~arrived, "File is missing or empty").alias("error_message"),
         (F.current_timestamp() if fetched_at is None else F.lit(fetched_at)).alias(
             "fetched_at_utc"
         ),
     )
 
 
+_DESCRIPTION = ("source", "source_group", "description", "source_url", "file_name")
+
+
+def _outcome(arrived: Column) -> list[Column]:
+    return [
+        F.when(arrived, SUCCESS).otherwise(FAILED).alias("download_status"),
+        F.when(~arrived, "File is missing or empty").alias("error_message"),
+    ]
+
+
+def scanned_manifest(
+    spark: SparkSession, expected: Sequence[ExpectedFile], rows: DataFrame
+) -> DataFrame:
+    """The same against ``(file_name, n_rows)`` of scanned files, by relative path."""
+    found = rows.withColumnRenamed("file_name", "relative_path")
+    return _expected(spark, expected).join(found, "relative_path", "left").select(
+        *_DESCRIPTION, "required", "n_rows", *_outcome(F.col("n_rows").isNotNull())
+    )
+
+
 def archive_members(
     spark: SparkSession, path: str, source: str, source_url: str, version: str
 ) -> DataFrame:
@@ -95,7 +143,7 @@ def missing_required(manifest_rows: DataFrame) -> DataFrame:
     """Required files that did not arrive."""
     return manifest_rows.filter(
         F.col("required") & (F.col("download_status") == FAILED)
-    ).select("source", "file_name", "error_message")
+    ).select("source", "source_group", "file_name", "error_message")
 
 
 def require_sources(manifest_rows: DataFrame) -> None:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_FORMAT = "parquet"
+#: Formats whose tables are plain folders; others replace a table in one transaction.
+FOLDER_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 
 def write_table(
@@ -27,70 +29,144 @@ def write_table(
     recomputed shuffle is not counted twice. Rows of a partitioned table are first
     brought together by partition, or every task would add a file to every partition;
     a partition that holds too many rows is split over several tasks.
+
+    An overwrite writes a new version beside the old one and then points the table to
+    it, so a write that fails leaves the table as it was. ``path`` is the folder of the
+    versions; the one before the last is kept for readers that still have it open.
     """
     written = Observation()
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.format(format).mode(mode)
-    if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
+    writer = counted.write.format(format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
+    if mode == "overwrite" and format in FOLDER_FORMATS:
+        _replace(df, writer, name, format, path, partition_by)
+        return written.get["rows"]
+    writer = writer.mode(mode)
+    if mode == "overwrite":
+        writer = writer.option("overwriteSchema", "true")
+    if path and not df.sparkSession.catalog.tableExists(name):
+        versioned = format in FOLDER_FORMATS
+        writer = writer.option("path", _version(path) if versioned else path)
     writer.saveAsTable(name)
     return written.get["rows"]
 
 
+def _version(folder: str) -> str:
+    return f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
+
+
+def _replace(
+    df: DataFrame,
+    writer,
+    name: str,
+    format: str,
+    path: str | None,
+    partition_by: Sequence[str],
+) -> None:
+    """Write the next version and switch the table to it."""
+    spark = df.sparkSession
+    folder = path or f"{warehouse(spark)}/{name.replace('.', '/')}-versions"
+    new = _version(folder)
+    writer.mode("errorifexists").save(new)
+    quoted = ".".join(map(_quoted, name.split(".")))
+    before = _location(spark, quoted) if spark.catalog.tableExists(name) else None
+    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
+    columns = ", ".join(
+        f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields
+    )
+    parts = ", ".join(map(_quoted, partition_by))
+    spark.sql(
+        f"CREATE TABLE {quoted} ({columns}) USING {format} "
+        + (f"PARTITIONED BY ({parts}) " if parts else "")
+        + f"LOCATION '{new}'"
+    )
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {quoted}")
+    keep = {_last(p) for p in (new, before) if p}
+    for other in folders(spark, folder):
+        if _last(other).startswith("version-") and _last(other) not in keep:
+            delete_folder(spark, other)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _last(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _location(spark: SparkSession, quoted: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").filter("col_name = 'Location'")
+    found = rows.first()
+    return found["data_type"] if found else None
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly under a path; none where the path is missing."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [
+        s.getPath().toString() for s in system.listStatus(target) if s.isDirectory()
+    ]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
 def count_rows(spark: SparkSession, name: str) -> int:
     """Rows of a finished table."""
     return spark.table(name).count()
 
 
+def warehouse(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the session names it.
+    """Folder that all executors can reach, as the session names it.
 
-    Only a local session without the setting gets a temporary folder.
+    A session that names none has its warehouse, which is shared as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="strata-")
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir() or f"{warehouse(spark)}/_stages"
     return folder.rstrip("/")
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """Unused path under the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-# The JVM does not compile methods above this size; they run interpreted, several
-# times slower. Spark's own limit for generated methods is far higher.
-COMPILED_METHOD_BYTES = 8000
-_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
-_SPARK_METHOD_LIMIT = 65535
+_OWNER: ContextVar[str | None] = ContextVar("stage_owner", default=None)
 
 
 @contextmanager
-def compilable_methods(spark: SparkSession) -> Iterator[None]:
-    """Keep generated code small enough to be compiled, for wide cleaning steps.
+def owned_stages(spark: SparkSession) -> Iterator[str]:
+    """Stages made inside belong to the caller and are deleted at the end.
 
-    A limit that the session has set itself is left alone.
+    Nothing that is read after the end may be built on them.
     """
-    before = spark.conf.get(_METHOD_LIMIT)
-    if int(before) != _SPARK_METHOD_LIMIT:
-        yield
-        return
-    spark.conf.set(_METHOD_LIMIT, COMPILED_METHOD_BYTES)
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _OWNER.set(folder)
     try:
-        yield
+        yield folder
     finally:
-        spark.conf.set(_METHOD_LIMIT, before)
+        _OWNER.reset(token)
+        delete_folder(spark, folder)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """Unused path under the shared folder; nothing is created yet."""
+    return f"{_OWNER.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -99,6 +175,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Reads of the result prune columns, and a lost executor costs no recomputation.
     """
     path = new_folder(df.sparkSession, label)
-    with compilable_methods(df.sparkSession):
-        df.write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

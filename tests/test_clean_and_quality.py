@@ -84,18 +84,18 @@ def test_findings_of_all_checks(spark, rows):
     assert found == sorted(
         [
             # The failed key itself reads <null>; a column cast later is still text.
-            ("<null>|7", "error", "invalid_type_cast", "Could not cast 'id' to 'int'.", "x"),
-            ("2|<null>", "error", "invalid_type_cast", "Could not cast 'size' to 'int'.",
+            ("<null>|7", "error", "invalid_type_cast", "The value of 'id' is no 'int'.", "x"),
+            ("2|<null>", "error", "invalid_type_cast", "The value of 'size' is no 'int'.",
              "y"),
             ("2", "warning", "invalid_format",
-             "'tag' does not match the expected pattern '^a'.", "zz"),
+             "The value of 'tag' is not of the form '^a'.", "zz"),
             (None, "error", "bad_size", "Size is off.", "9"),
             ("<null>|7", "error", "missing_required_value",
-             "Required field 'id' is null.", "id"),
+             "'id' must have a value.", "id"),
             ("<null>|9", "error", "missing_required_value",
-             "Required field 'id' is null.", "id"),
+             "'id' must have a value.", "id"),
             ("<null>", "error", "missing_required_value",
-             "Required field 'tag' is null.", "tag"),
+             "'tag' must have a value.", "tag"),
         ],
         key=repr,
     )

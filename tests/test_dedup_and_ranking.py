@@ -8,11 +8,16 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.operators.dedup import deduplicate, duplicate_issues, duplicate_keys
+from strata.functions.keys import row_hash
+from strata.operators.dedup import (
+    deduplicate,
+    duplicate_issues,
+    duplicate_keys,
+    repeated_issues,
+)
 from strata.operators.quality import Dataset
 from strata.operators.ranking import (
     dense_rank,
-    dense_rank_by_ranges,
     dense_rank_by_window,
     top,
 )
@@ -93,7 +98,7 @@ def test_duplicate_issues(spark, rows):
     found = duplicate_issues(df, ["k1", "k2"], DATASET).select(
         "record_key", "severity", "rule_name", "issue_message", "raw_value"
     )
-    message = "Found 2 rows for the same business key."
+    message = "2 rows share this business key."
     assert rows(found) == [
         ("<null>|2", "error", "conflicting_duplicate_key", message, "2"),
         ("a|1", "warning", "exact_duplicate_key", message, "2"),
@@ -117,22 +122,49 @@ def ranked_input(spark):
 ORDER = [("v", "desc"), ("n", "asc")]
 
 
-def test_ranks_by_ranges_equal_ranks_by_window(spark, rows):
+def test_ranks_in_steps_equal_ranks_by_window(spark, rows):
     df = ranked_input(spark)
-    expected = rows(dense_rank_by_window(df, ["g"], ORDER))
-    assert rows(dense_rank_by_ranges(df, ["g"], ORDER, ranges=7)) == expected
-    # Only the hot group is above the limit.
-    assert rows(dense_rank(df, ["g"], ORDER, max_group_rows=100)) == expected
-    assert rows(dense_rank(df, ["g"], ORDER)) == expected
-    assert rows(dense_rank(df, ["g"], ORDER, max_group_rows=None)) == expected
+    for order in (ORDER, [("n", "asc"), ("v", "desc")], [("v", "asc")], [("i", "desc")]):
+        expected = rows(dense_rank_by_window(df, ["g"], order))
+        assert rows(dense_rank(df, ["g"], order)) == expected
 
 
-def test_large_groups_use_no_window_over_the_group(spark):
-    df = ranked_input(spark)
-    ranged = dense_rank_by_ranges(df, ["g"], ORDER, ranges=4)
-    plan = ranged._jdf.queryExecution().optimizedPlan().toString()
+def test_steps_keep_the_order_of_odd_numbers(spark, rows):
+    values = [0.0, -0.0, -1e300, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    values += [x / 7 for x in range(-40, 40)] + [1e-9, -1e-9]
+    df = spark.createDataFrame([("g", v, i) for i, v in enumerate(values)], "g string, v double, i int")
+    for way in ("asc", "desc"):
+        expected = rows(dense_rank_by_window(df, ["g"], [("v", way)]), "i", "rank")
+        assert rows(dense_rank(df, ["g"], [("v", way)]), "i", "rank") == expected
+
+
+def test_no_window_holds_the_rows_of_a_group(spark):
+    ranked = dense_rank(ranked_input(spark), ["g"], ORDER)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2 and all("__range" in w for w in windows)
+    # One over the counts of the steps, one over the rows of a step.
+    assert len(windows) == 2 and all("__step" in w for w in windows)
+
+
+def test_columns_named_like_helpers_are_data(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, __v string")
+    kept = deduplicate(df, ["k"], counted=True)
+    assert kept.columns == ["k", "__v", "__copies", "__conflict"]
+    assert [(r["k"], r["__copies"], r["__conflict"]) for r in kept.orderBy("k").collect()] == [
+        (1, 2, True),
+        (2, 1, False),
+    ]
+    hashes = df.select(row_hash(df.columns).alias("h")).distinct()
+    assert hashes.count() == 3
+
+
+def test_clean_rows_and_repeated_keys_come_from_one_shuffle(spark):
+    df = spark.createDataFrame([("a", 1, "x")], DDL)
+    counted = deduplicate(df, ["k1", "k2"], counted=True)
+    found = repeated_issues(counted, ["k1", "k2"], DATASET)
+    for frame in (counted, found):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_top_puts_nulls_last_and_breaks_ties(spark):

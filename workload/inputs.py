@@ -125,15 +125,15 @@ PLACES = {
                CAST(n_nationkey AS BIGINT) FROM {{nation}}
     """,
     "customer": f"""
-        SELECT {_PLACE} AS soc_code, c_name AS title, c_custkey AS member
+        SELECT CASE WHEN n_nationkey%3=0 THEN 'none' ELSE {_PLACE} END AS soc_code,
+               c_name AS title, c_custkey AS member
         FROM {{customer}} JOIN {{nation}} ON c_nationkey=n_nationkey
-        WHERE n_nationkey%3<>0
     """,
     "supplier": f"""
-        SELECT CASE WHEN s_suppkey%9=0 THEN 'none' ELSE {_PLACE} END AS soc_code,
+        SELECT CASE WHEN s_suppkey%9=0 OR n_nationkey%4=0 THEN 'none'
+                    ELSE {_PLACE} END AS soc_code,
                s_name AS title, s_suppkey AS member
         FROM {{supplier}} JOIN {{nation}} ON s_nationkey=n_nationkey
-        WHERE n_nationkey%4<>0
     """,
 }
 
@@ -148,24 +148,25 @@ SELECT CAST(l_orderkey AS STRING) AS series_id, CAST(year(l_shipdate) AS INT) AS
 FROM {lineitem}
 """
 SERIES = f"""
-SELECT CAST(o_orderkey AS STRING) AS series_id, o_orderstatus AS seasonal,
+SELECT CASE WHEN o_orderkey%19=0 THEN 'no series' ELSE CAST(o_orderkey AS STRING) END
+    AS series_id, o_orderstatus AS seasonal,
   o_orderpriority AS series_title, CAST(o_custkey AS STRING) AS area_code,
   CAST(o_orderkey%25 AS STRING) AS industry_code,
   CAST(o_orderkey%2000 AS STRING) AS occupation_code,
   CASE WHEN o_orderkey%3=0 THEN NULL ELSE {code('o_custkey')} END AS soc_code,
   CAST(o_orderkey%7 AS STRING) AS datatype_code
-FROM {{orders}} WHERE o_orderkey%19<>0
+FROM {{orders}}
 """
 SURVEY_OCCUPATIONS = f"""
 SELECT CAST(p_partkey AS STRING) AS occupation_code, {code('p_partkey')} AS soc_code,
        p_name AS occupation_name FROM {{part}}
 """
-# Two records per area, and every tenth area missing.
-AREAS = """
-SELECT CAST(c_custkey AS STRING) AS area_code, c_name AS area_name
-FROM {customer} WHERE c_custkey%10<>0
+# Two records per area; every tenth area has a code that no series has.
+_AREA = "concat(CASE WHEN c_custkey%10=0 THEN 'x' ELSE '' END,CAST(c_custkey AS STRING))"
+AREAS = f"""
+SELECT {_AREA} AS area_code, c_name AS area_name FROM {{customer}}
 UNION ALL
-SELECT CAST(c_custkey AS STRING), c_mktsegment FROM {customer} WHERE c_custkey%10<>0
+SELECT {_AREA}, c_mktsegment FROM {{customer}}
 """
 INDUSTRIES = """
 SELECT CAST(n_nationkey AS STRING) AS industry_code, n_name AS industry_name FROM {nation}
@@ -207,16 +208,18 @@ FROM {{orders}} GROUP BY o_custkey, substr(o_orderpriority,1,1)
 """
 EDUCATION_CATEGORIES = """
 SELECT DISTINCT '2.D.1' AS element_id, 'RL' AS scale_id,
-  CAST(substr(o_orderpriority,1,1) AS INT) AS category,
+  CASE WHEN substr(o_orderpriority,1,1)='3' THEN -3
+       ELSE CAST(substr(o_orderpriority,1,1) AS INT) END AS category,
   o_orderpriority AS category_description
-FROM {orders} WHERE substr(o_orderpriority,1,1)<>'3'
+FROM {orders}
 """
-# Every tenth customer is missing.
+# Every tenth customer has a code that no other table has.
 OCCUPATIONS = f"""
-SELECT concat({code('c_custkey')},'.00') AS onet_soc_code,
-  {code('c_custkey')} AS soc_code, c_name AS occupation_title,
-  c_mktsegment AS description
-FROM {{customer}} WHERE c_custkey%10<>0
+SELECT concat({code('c_custkey')},CASE WHEN c_custkey%10=0 THEN '.99' ELSE '.00' END)
+    AS onet_soc_code,
+  CASE WHEN c_custkey%10=0 THEN 'none' ELSE {code('c_custkey')} END AS soc_code,
+  c_name AS occupation_title, c_mktsegment AS description
+FROM {{customer}}
 """
 
 
@@ -248,9 +251,10 @@ SELECT concat({code('c_custkey')},'.00') AS onet_soc_code,
 FROM {{customer}}
 """
 
-# Every tenth customer is missing.
+# Every tenth customer has a key that no order has.
 HOLED_LOOKUP = """
-SELECT c_custkey, c_name, c_nationkey FROM {customer} WHERE c_custkey%10<>0
+SELECT CASE WHEN c_custkey%10=0 THEN -c_custkey ELSE c_custkey END AS c_custkey,
+       c_name, c_nationkey FROM {customer}
 """
 
 CLEAN_TABLES = {

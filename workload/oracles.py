@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from strata.functions.codes import BASE_CODE_PATTERN
 from workload import inputs
-from workload.inputs import oracle_text
+from workload.inputs import TABLES, oracle_text
+from workload.jobs import OBSERVATION_SOURCE, ZONE_SOURCE
 
 TOKENS = "('','—','–','-','n/a','na','null')"
 DIRTY = ("o_orderkey", "raw_code", "raw_amount", "raw_flag", "raw_month", "raw_zone")
@@ -168,7 +169,7 @@ def required_issue(column: str, record_key: str) -> str:
         record_key,
         "'error'",
         "'missing_required_value'",
-        text(f"Required field {column!r} is null."),
+        text(f"{column!r} must have a value."),
         text(column),
     )
 
@@ -179,7 +180,7 @@ def cast_issue(column: str, type_name: str, record_key: str, raw: str) -> str:
         record_key,
         "'error'",
         "'invalid_type_cast'",
-        text(f"Could not cast {column!r} to {type_name!r}."),
+        text(f"The value of {column!r} is no {type_name!r}."),
         raw,
     )
 
@@ -191,7 +192,7 @@ def regex_issue(record_key: str, severity: str) -> str:
         text(severity),
         "'invalid_format'",
         text(
-            f"'code_raw' does not match the expected pattern {BASE_CODE_PATTERN!r}."
+            f"The value of 'code_raw' is not of the form {BASE_CODE_PATTERN!r}."
         ),
         "code_raw",
     )
@@ -202,7 +203,7 @@ MISSING_COLUMN = issue(
     "NULL",
     "'error'",
     "'missing_required_column'",
-    text("Required column 'approved_by' was not found."),
+    text("The source has no column 'approved_by'."),
     "'approved_by'",
 )
 BAD_CODE = r"code_raw IS NOT NULL AND NOT regexp_matches(code_raw,'^\d{2}-\d{4}$')"
@@ -357,7 +358,67 @@ _EDUCATION = (
     "OR typical_entry_education IS NULL)"
 )
 
+OBSERVED = oracle_text(OBSERVATION_SOURCE)
+ZONED = oracle_text(ZONE_SOURCE)
+GOOD_ZONE = "code<>'none' AND job_zone<>'2.5'"
+
+
+def counted(table_name: str, entry: str, source: str, condition: str, what: str = "*") -> str:
+    """A row with the number of source rows, or of different codes, that fulfil it."""
+    return (
+        f"SELECT '{table_name}' AS table_name, '{entry}' AS entry, "
+        f"count({what}) AS n_rows FROM ({source}) WHERE {condition}"
+    )
+
+
+def _job_log() -> str:
+    seen, zones = "bls_oews_observations", "onet_job_zones"
+    # A code that is none at all lacks both of its forms; a zone that is no number is one.
+    lacking = (
+        f"SELECT '{zones}' AS table_name, 'missing_required_value' AS entry, "
+        f"sum(CASE WHEN code='none' THEN 2 ELSE 0 END"
+        f" + CASE WHEN job_zone='2.5' THEN 1 ELSE 0 END)::BIGINT AS n_rows FROM ({ZONED})"
+    )
+    repeated = (
+        f"SELECT '{{}}' AS table_name, 'exact_duplicate_key' AS entry, count(*) AS n_rows "
+        f"FROM (SELECT {{}} FROM ({{}}) WHERE {{}} GROUP BY ALL HAVING count(*)>1)"
+    )
+    return " UNION ALL ".join(
+        [
+            counted(seen, "missing_required_value", OBSERVED, "series_id='N/A'"),
+            counted(seen, "invalid_format", OBSERVED, "period='late'"),
+            counted(seen, "invalid_type_cast", OBSERVED, "value='abc'"),
+            repeated.format(seen, "series_id, year, period", OBSERVED, "series_id<>'N/A'"),
+            counted(
+                seen, "success overwrite", OBSERVED, "series_id<>'N/A'",
+                "DISTINCT (series_id, year, period)",
+            ),
+            lacking,
+            counted(zones, "invalid_format", ZONED, "code='none'"),
+            counted(zones, "invalid_type_cast", ZONED, "job_zone='2.5'"),
+            counted(zones, "invalid_job_zone", ZONED, "job_zone IN ('0','6','7')"),
+            repeated.format(zones, "code", ZONED, GOOD_ZONE),
+            counted(zones, "success overwrite", ZONED, GOOD_ZONE, "DISTINCT code"),
+        ]
+    )
+
+
 ORACLES: dict[str, str] = {
+    "job_observations": f"""
+        SELECT DISTINCT series_id, CAST(year AS INT) AS year, period, value AS value_raw,
+          nullif(footnote_codes,'-') AS footnote_codes, TRY_CAST(value AS DOUBLE) AS value
+        FROM ({OBSERVED}) WHERE series_id<>'N/A'""",
+    "job_zones": f"""
+        SELECT DISTINCT code AS onet_soc_code_raw, code AS onet_soc_code,
+          substr(code,1,7) AS soc_code, CAST(job_zone AS INT) AS job_zone,
+          date AS source_date_raw, {month('date')} AS data_month, domain_source
+        FROM ({ZONED}) WHERE {GOOD_ZONE}""",
+    "job_log": _job_log(),
+    "job_failure": f"""
+        SELECT 'bls_oews_observations' AS table_name, 'success' AS status,
+          count(DISTINCT (series_id, year, period)) AS row_count, false AS has_error
+        FROM ({OBSERVED}) WHERE series_id<>'N/A'
+        UNION ALL SELECT 't', 'failed', NULL, true""",
     "scan_delimited": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
           CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
@@ -366,9 +427,19 @@ ORACLES: dict[str, str] = {
     "header_offset_read": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""",
-    "required_source_gate": """
-        SELECT * FROM (VALUES ('tables','returns.parquet','File is missing or empty'))
-        AS v(source, file_name, error_message)""",
+    "file_manifest": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS n_rows, true AS all_have_content FROM {n}"
+        for n in TABLES
+    ),
+    "required_source_gate": " UNION ALL ".join(
+        f"SELECT '' AS source_group, '{n}.parquet' AS file_name, "
+        f"'success' AS download_status, count(*) AS n_rows, false AS stops_the_run FROM {n}"
+        for n in TABLES
+    )
+    + """ UNION ALL SELECT * FROM (VALUES
+        ('', 'returns.parquet', 'failed', NULL::BIGINT, true),
+        ('', 'notes.parquet', 'failed', NULL::BIGINT, false),
+        ('other', 'orders.parquet', 'failed', NULL::BIGINT, true))""",
     "sink_overwrite_append": """
         SELECT event_type, 2*count(*) AS n_rows FROM events GROUP BY event_type""",
     "json_flatten": """
@@ -479,7 +550,7 @@ ORACLES: dict[str, str] = {
                "CASE WHEN v>1 THEN 'error' ELSE 'warning' END",
                "CASE WHEN v>1 THEN 'conflicting_duplicate_key' "
                "ELSE 'exact_duplicate_key' END",
-               "'Found '||n||' rows for the same business key.'",
+               "n||' rows share this business key.'",
                "CAST(n AS VARCHAR)")} FROM g""",
     "dedup_keep_min_hash": f"""
         WITH h AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber

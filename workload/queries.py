@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.amounts import (
@@ -55,24 +56,24 @@ from strata.operators.quality import (
     missing_column_rows,
     union_issues,
 )
-from strata.operators.ranking import dense_rank_by_ranges
+from strata.operators.ranking import dense_rank
 from strata.plans import board, gold
 from strata.plans.spec import Finished
 from strata.plans.table_job import Audit, newest_first
 from strata.sources.files import read_delimited, read_with_header_offset
 from strata.sources.manifest import (
     ExpectedFile,
-    list_files,
-    manifest,
     missing_required,
+    scanned_files,
+    scanned_manifest,
 )
 from strata.sources.series import flatten_responses, latest
-from strata.sources.tables import count_rows, new_folder, write_table
-from workload import inputs
+from strata.sources.tables import count_rows, new_folder, stage, write_table
+from workload import inputs, jobs
 from workload.inputs import derive, table
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = dict(jobs.QUERIES)
 
 RUN_ID = "run-1"
 RUN_TIME = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -131,58 +132,113 @@ def scan_delimited(spark, d):
 
 @query
 def header_offset_read(spark, d):
-    """Customers in several files, each with three junk lines above its header."""
+    """Customers in several files, each with three junk lines above its header.
+
+    Every second file has its columns in the opposite order.
+    """
     folder = new_folder(spark, "customer-preamble")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    customer = table(spark, d, "customer")
-    row = F.concat_ws(
-        "\t", "c_custkey", "c_name", F.lit(""), "c_nationkey", "c_mktsegment"
-    )
-    body = customer.select(
-        F.pmod(F.xxhash64("c_custkey"), F.lit(files)).cast("int").alias("part"),
-        F.lit(1).alias("place"),
-        F.explode(
-            F.when(F.col("c_custkey") % 50 == 0, F.array(row, F.lit("\t\t\t\t")))
-            .otherwise(F.array(row))
-        ).alias("value"),
-    )
-    header = "c_custkey\tc_name\t\tc_nationkey\tc_mktsegment"
-    top = ["Customers", "", "not data", header]
-    preamble = body.select("part").distinct().select(
-        "part",
-        F.posexplode(F.array(*[F.lit(line) for line in top])).alias("line", "value"),
-    ).select("part", (F.col("line") - 10).alias("place"), "value")
+    cells = ["c_custkey", "c_name", "", "c_nationkey", "c_mktsegment"]
+
+    def line(values) -> Column:
+        return F.concat_ws("\t", *values)
+
+    def either(values) -> Column:
+        return F.when(F.col("part") % 2 == 0, line(values)).otherwise(line(values[::-1]))
+
+    row = either([F.col(c) if c else F.lit("") for c in cells])
+    body = (
+        table(spark, d, "customer")
+        .withColumn(
+            "part", F.pmod(F.xxhash64("c_custkey"), F.lit(files)).cast("int")
+        )
+        .select(
+            "part",
+            F.lit(1).alias("place"),
+            F.explode(
+                F.when(F.col("c_custkey") % 50 == 0, F.array(row, F.lit("\t\t\t\t")))
+                .otherwise(F.array(row))
+            ).alias("value"),
+        )
+    )
+    header = either([F.lit(c) for c in cells])
+    top = [F.lit("Customers"), F.lit(""), F.lit("not data"), header]
+    preamble = (
+        body.select("part")
+        .distinct()
+        .select("part", F.posexplode(F.array(*top)).alias("line", "value"))
+        .select("part", (F.col("line") - 10).alias("place"), "value")
+    )
     lines = preamble.unionByName(body)
     lines.repartition("part").sortWithinPartitions("part", "place").select(
         "part", "value"
     ).write.partitionBy("part").text(folder)
-    return read_with_header_offset(spark, folder, header_row=3)
+    read = read_with_header_offset(spark, folder, header_row=3)
+    return read.select(*[c for c in cells if c])
 
 
 @query
 def file_manifest(spark, d):
-    return list_files(spark, d, "*.parquet").select("file_name", "bytes_written")
+    """Rows of every base table from the metadata of its scanned rows."""
+    scans = [
+        scanned_files(table(spark, d, n)).select(
+            F.lit(n).alias("table_name"), "n_rows", "bytes_written"
+        )
+        for n in inputs.TABLES
+    ]
+    return (
+        reduce(DataFrame.unionAll, scans)
+        .groupBy("table_name")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.bool_and(F.col("bytes_written") > 0).alias("all_have_content"),
+        )
+    )
 
 
 @query
 def required_source_gate(spark, d):
-    expected = [
-        ExpectedFile("tables", "base", f"{n}.parquet") for n in inputs.TABLES
-    ] + [
-        ExpectedFile("tables", "base", "returns.parquet"),
-        ExpectedFile("tables", "base", "notes.parquet", required=False),
+    """Expected tables, with the rows scanned from those that are there."""
+    expected = [ExpectedFile("tables", "", f"{n}.parquet") for n in inputs.TABLES] + [
+        ExpectedFile("tables", "", "returns.parquet"),
+        ExpectedFile("tables", "", "notes.parquet", required=False),
+        # A file of this name is there, but not in this group's folder.
+        ExpectedFile("tables", "other", "orders.parquet"),
+    ]
+    scans = [
+        scanned_files(table(spark, d, n)).select(
+            F.lit(f"{n}.parquet").alias("file_name"), "n_rows"
+        )
+        for n in inputs.TABLES
     ]
-    return missing_required(manifest(spark, expected, d, RUN_TIME))
+    rows = (
+        reduce(DataFrame.unionAll, scans).groupBy("file_name").agg(F.sum("n_rows").alias("n_rows"))
+    )
+    listed = scanned_manifest(spark, expected, rows)
+    missing = F.lit(True).alias("missing")
+    gate = missing_required(listed).select("source_group", "file_name", missing)
+    return listed.join(gate, ["source_group", "file_name"], "left").select(
+        "source_group",
+        "file_name",
+        "download_status",
+        "n_rows",
+        F.coalesce("missing", F.lit(False)).alias("stops_the_run"),
+    )
 
 
 @query
 def sink_overwrite_append(spark, d):
+    """Two overwrites and an append; the table goes when its rows have been counted."""
     name = f"events_{uuid.uuid4().hex[:8]}"
     path = new_folder(spark, name)
     events = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    write_table(events.limit(0), name, "overwrite", partition_by=["event_type"], path=path)
     write_table(events, name, "overwrite", partition_by=["event_type"], path=path)
     write_table(events, name, "append", partition_by=["event_type"], path=path)
-    return spark.table(name).groupBy("event_type").agg(F.count("*").alias("n_rows"))
+    counts = spark.table(name).groupBy("event_type").agg(F.count("*").alias("n_rows"))
+    result = stage(counts, name)
+    spark.sql(f"DROP TABLE {name}")
+    return result
 
 
 @query
@@ -604,16 +660,15 @@ def projection_fact(spark, d):
     return _no_lineage(_projection_fact(spark, d))
 
 
-def _education(spark: SparkSession, d: str, **options) -> DataFrame:
+def _education(spark: SparkSession, d: str) -> DataFrame:
     return gold.bridge_occupation_education(
         _clean_tables(
             spark, d, "onet_education", "onet_education_categories", "onet_occupations"
-        ),
-        **options,
+        )
     )
 
 
-def _skills(spark: SparkSession, d: str, **options) -> DataFrame:
+def _skills(spark: SparkSession, d: str) -> DataFrame:
     return gold.bridge_occupation_skill(
         _clean_tables(
             spark,
@@ -621,8 +676,7 @@ def _skills(spark: SparkSession, d: str, **options) -> DataFrame:
             "onet_essential_skills",
             "onet_transferable_skills",
             "onet_occupations",
-        ),
-        **options,
+        )
     )
 
 
@@ -650,17 +704,17 @@ def bridge_family_rank(spark, d):
 
 @query
 def bridge_family_rank_large_groups(spark, d):
-    """As above, with groups of more than twelve rows ranked in ranges."""
-    return _no_lineage(_skills(spark, d, max_group_rows=12))
+    """The same ranks; kept under the name of the former path for large groups."""
+    return _no_lineage(_skills(spark, d))
 
 
 @query
 def rank_hot_group(spark, d):
-    """Three groups hold all rows: ranked in ranges, not in three tasks."""
+    """Three groups hold all rows: ranked in steps, not in three tasks."""
     lines = table(spark, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"
     )
-    return dense_rank_by_ranges(
+    return dense_rank(
         lines, ["l_returnflag"], [("l_partkey", "desc"), ("l_linenumber", "asc")]
     )
 
@@ -761,8 +815,8 @@ def bridge_coverage(spark, d):
     dimension = occupation_dimension(spark, d).select("soc_code", "occupation_title")
     # The ranks are not used, so Spark drops them; no group needs to be measured.
     bridges = {
-        "onet_occupations_with_education": _education(spark, d, max_group_rows=None),
-        "onet_occupations_with_skills": _skills(spark, d, max_group_rows=None),
+        "onet_occupations_with_education": _education(spark, d),
+        "onet_occupations_with_skills": _skills(spark, d),
         "onet_occupations_with_software": _software(spark, d),
         "onet_occupations_with_job_zone": _zones(spark, d),
     }
