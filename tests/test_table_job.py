@@ -1,12 +1,21 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from source_files import write_sources
 
 from strata.operators import checks
-from strata.plans import board, gold, gold_checks, occupation_tables, survey_tables
+from strata.plans import (
+    board,
+    gold,
+    gold_checks,
+    gold_views,
+    occupation_tables,
+    survey_tables,
+)
 from strata.plans.spec import TableSpec
 from strata.plans.table_job import AUDIT_TABLE, ISSUE_TABLE, TableJob, newest_first
+from strata.sources.tables import write_table
 
 SPECS = (*survey_tables.SPECS, *occupation_tables.SPECS)
 
@@ -140,6 +149,40 @@ def views(tables):
     return built
 
 
+@pytest.mark.parametrize("name", list(gold.VIEWS))
+def test_catalog_views_equal_the_frames(spark, views, rows, name):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
+    gold_views.publish(spark, gold="gold_test", names=[name])
+    view = spark.table(f"gold_test.{name}")
+    assert view.columns == views[name].columns
+    assert dict(view.dtypes) == dict(views[name].dtypes)
+    assert rows(view) == rows(views[name])
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED gold_test.{name}")
+    assert described.filter("col_name = 'Comment'").count() == 1
+
+
+def test_a_view_reads_what_the_last_write_left(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS fresh")
+    zones = spark.createDataFrame(
+        [("11-1011.00", "11-1011", 4, "f", "r", None)],
+        "onet_soc_code string, soc_code string, job_zone int, source_file_path string, "
+        "run_id string, processed_at timestamp",
+    )
+    titles = spark.createDataFrame(
+        [("11-1011.00", "Chief", "Leads")],
+        "onet_soc_code string, occupation_title string, description string",
+    )
+    write_table(titles, "fresh.onet_occupations")
+    write_table(zones, "fresh.onet_job_zones")
+    gold_views.publish(spark, "fresh", "fresh", ["bridge_occupation_job_zone"])
+    view = "fresh.bridge_occupation_job_zone"
+    assert spark.table(view).first().job_zone_label == "high_preparation"
+    write_table(zones, "fresh.onet_job_zones", "append")
+    assert spark.table(view).count() == 2
+    write_table(zones.withColumn("job_zone", F.lit(9)), "fresh.onet_job_zones")
+    assert [r.job_zone_label for r in spark.table(view).collect()] == ["unknown"]
+
+
 def test_dimension(views):
     got = {r.soc_code: r for r in views["dim_occupation"].collect()}
     dev = got["15-1252"]

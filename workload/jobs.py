@@ -12,11 +12,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans import occupation_tables, survey_tables
+from strata.operators.clean import with_lineage
+from strata.plans import gold_views, occupation_tables, survey_tables
 from strata.plans.spec import TableSpec
 from strata.plans.table_job import AUDIT_TABLE, ISSUE_TABLE, TableJob
-from strata.sources.tables import new_folder
-from workload.inputs import code, derive
+from strata.sources.tables import new_folder, stage, write_table
+from workload.inputs import CLEAN_TABLES, code, derive
 
 # Texts that both engines read; ``line`` makes the fields of a source strings.
 OBSERVATION_SOURCE = """
@@ -142,4 +143,26 @@ def job_failure(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (job_observations, job_zones, job_log, job_failure)}
+def published_view(spark: SparkSession, d: str) -> DataFrame:
+    """A catalog view, read after its table was overwritten and then appended to."""
+    name = "bls_employment_projections"
+    schema = f"view_{uuid.uuid4().hex}"
+    folder = new_folder(spark, schema)
+    rows = with_lineage(derive(spark, d, CLEAN_TABLES[name]), name, "run-1")
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{folder}/database'")
+    try:
+        path = f"{folder}/{name}"
+        write_table(rows.limit(0), f"{schema}.{name}", path=path)
+        gold_views.publish(spark, schema, schema, ["fact_occupation_projection"])
+        write_table(rows, f"{schema}.{name}", path=path)
+        write_table(rows, f"{schema}.{name}", "append", path=path)
+        read = spark.table(f"{schema}.fact_occupation_projection")
+        return stage(read.drop("source_file_path", "run_id", "processed_at"), schema)
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (job_observations, job_zones, job_log, job_failure, published_view)
+}

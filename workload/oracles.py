@@ -423,6 +423,8 @@ ORACLES: dict[str, str] = {
           date AS source_date_raw, {month('date')} AS data_month, domain_source
         FROM ({ZONED}) WHERE {GOOD_ZONE}""",
     "job_log": _job_log(),
+    "published_view": f"""{PROJECTION_FACT}
+        SELECT * FROM fact UNION ALL SELECT * FROM fact""",
     "job_failure": f"""
         SELECT 'bls_oews_observations' AS table_name, 'success' AS status,
           count(DISTINCT (series_id, year, period)) AS row_count, false AS has_error
