@@ -194,7 +194,7 @@ def _sort_bucket(kind: int, width: int):
     return run
 
 
-def _stage_packs(docs: DataFrame) -> tuple[DataFrame, int]:
+def _stage_packs(docs: DataFrame) -> tuple[DataFrame, int, str]:
     """Write the texts once, bucketed by the input task that read them.
 
     Every task writes one file, and later steps meet the answers of the buckets without
@@ -211,7 +211,7 @@ def _stage_packs(docs: DataFrame) -> tuple[DataFrame, int]:
         .bucketBy(tasks, "pack")
         .saveAsTable(name)
     )
-    return spark.table(name), tasks
+    return spark.table(name), tasks, name
 
 
 def repeated_strings(
@@ -223,7 +223,7 @@ def repeated_strings(
     ``kept`` is the hash of the bytes that stay.
     """
     chosen = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    packs, tasks = _stage_packs(chosen)
+    packs, tasks, name = _stage_packs(chosen)
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(1 << 16, max(how.buckets_per_pack * tasks, shuffles))
 
@@ -283,12 +283,15 @@ def repeated_strings(
             }
         )
 
-    return _cogrouped(
+    found = _cogrouped(
         packs,
         ranks.unionAll(ties),
         results,
         "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept string",
     )
+    # The name was needed to read by bucket; the files stay for the returned frame.
+    docs.sparkSession.sql(f"DROP TABLE {name}")
+    return found
 
 
 def _cogrouped(packs: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
