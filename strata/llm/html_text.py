@@ -20,6 +20,7 @@ each by itself; stray closing tags are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -44,21 +45,26 @@ DROPPED = frozenset(
     "textarea input label fieldset iframe object svg canvas audio video menu dialog math "
     "map datalist".split()
 )
-#: Words in class, id or role that mark what is no main text.
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|promo\w*|sponsor\w*|sidebar|side-bar|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|cookies?|consent|gdpr|notice|"
-    r"popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|"
-    r"social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|respond|"
-    r"pagination|pager|toolbar|widget|skip|search|alert|complementary|contentinfo|"
-    r"breaking|copyright|disclaimer|paywall|tags|hidden)(?:$|[\s_-])",
-    re.IGNORECASE,
+def _words(words: str) -> re.Pattern:
+    """Any of the words, standing by itself in a class, id or role."""
+    return re.compile(rf"(?:^|[\s_-])(?:{words})(?:$|[\s_-])", re.IGNORECASE)
+
+
+#: Words that mark what is no main text, whatever stands beside them.
+_NOISE = _words(
+    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|"
+    r"overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|"
+    r"recommend\w*|comments?|commentlist|disqus|replies|reply|respond|responses|pagination|"
+    r"pager|breadcrumbs?|complementary|contentinfo|navigation|navbar|paywall|copyright|"
+    r"disclaimer|skip"
 )
-# A page may name its content in words that the list above has too.
-_CONTENT = re.compile(
-    r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Words that mark parts of a page, or the layout of its content: ``content has-sidebar``.
+_LAYOUT = _words(
+    r"sidebar|side-bar|aside|nav|menu|header|footer|masthead|banner|notice|notices|alert|"
+    r"toolbar|widget|widgets|search|breaking|tags|hidden"
 )
+_CONTENT = _words(r"article|content|main|post|entry|story|body|text")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: An open paragraph ends where one of these starts.
 _ENDS_P = BLOCKS
 _SELF_CLOSING = {
@@ -198,16 +204,17 @@ class _Lines(HTMLParser):
         if tag == "header":
             # The header of an article holds its title; that of the page a menu.
             return not self.articles
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body"):
             return False
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if name in ("class", "id", "role") and value:
-                if _NOISE.search(value) and not (
-                    _CONTENT.search(value) and self.articles == 0
-                ):
+                marks = _HUMP.sub("-", value)
+                if _NOISE.search(marks):
                     return True
+                if _LAYOUT.search(marks) and not _CONTENT.search(marks):
+                    return tag not in ("article", "main", "h1")
             if name == "style" and value and "display:none" in value.replace(" ", ""):
                 return True
         return False
@@ -241,13 +248,20 @@ def main_text(html: str | None, how: Extraction = Extraction()) -> str:
     smoothed = smooth(text_tag_ratios(lines), how)
     # Relative to the page, so that a page of even lines is all content.
     content = smoothed >= how.threshold * float(smoothed.mean())
-    kept = _marked_regions(lines, content) or _clusters(lines, content, how)
+    kept = _marked_regions(lines, content, how) or _clusters(lines, content, how)
     return "\n".join(lines[i].text for i in kept)
 
 
-def _marked_regions(lines: list[Line], content: np.ndarray) -> list[int]:
-    """Lines of the marked elements that hold content."""
-    regions = {x.article for x, is_content in zip(lines, content) if is_content} - {0}
+def _marked_regions(
+    lines: list[Line], content: np.ndarray, how: Extraction
+) -> list[int]:
+    """Lines of the marked elements that hold content, without much smaller ones."""
+    mass: Counter[int] = Counter()
+    for line, is_content in zip(lines, content):
+        mass[line.article] += len(line.text) * bool(is_content)
+    del mass[0]
+    most = max(mass.values(), default=0)
+    regions = {r for r, m in mass.items() if m and m >= how.min_cluster_share * most}
     return [i for i, x in enumerate(lines) if x.article in regions]
 
 
