@@ -125,19 +125,25 @@ def _words(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def _class_counts(joined: Column) -> list[Column]:
-    return [_count(joined, c) for c in CLASSES.values()]
+def _histogram(joined: Column) -> Column:
+    """Counts of the classes and of the characters of none, without digits.
 
+    Most characters are lower-case letters, which stand in long runs. They are taken out
+    first, and the other classes are counted in the little that is left.
+    """
+    first, *others = CLASSES.values()
 
-def _histogram(counts: list[Column], joined: Column) -> Column:
-    """The class counts and the characters of no class, without digits."""
+    def with_rest(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
+        known = F.slice(counts, 1, len(CLASSES))
+        return F.concat(known, F.array(F.length(joined) - total))
 
-    def with_rest(held: Column) -> Column:
-        total = F.aggregate(held, F.lit(0), lambda a, x: a + x)
-        rest = F.length(joined) - _count(joined, DIGIT) - total
-        return F.concat(held, F.array(rest))
+    def count(left: Column) -> Column:
+        lower = F.length(joined) - F.length(left)
+        each = [_count(left, c) for c in (*others, DIGIT)]
+        return _let(F.array(lower, *each), with_rest)
 
-    return _let(F.array(*counts), with_rest)
+    return _let(F.regexp_replace(joined, f"{first}+", ""), count)
 
 
 def base_counts(docs: DataFrame, text: str, rule: Rule = Rule()) -> DataFrame:
@@ -154,7 +160,7 @@ def base_counts(docs: DataFrame, text: str, rule: Rule = Rule()) -> DataFrame:
         *[c for c in seen.columns if c != "joined"],
         F.size(words).cast("long").alias("n_words"),
         F.length(joined).cast("long").alias("word_chars"),
-        _histogram(_class_counts(joined), joined).alias("classes"),
+        _histogram(joined).alias("classes"),
         F.coalesce(
             _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))), F.lit(0)
         )
