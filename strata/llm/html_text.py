@@ -10,7 +10,10 @@ it holds a cluster; elsewhere a region reaches from the first to the last line o
 cluster. Lines that are mostly links are menus and are left out of unmarked regions.
 
 Menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles
-and reader comments are left out by what they are marked as, before ratios are taken.
+and reader comments are left out by what they are marked as, before ratios are taken. A
+mark is a whole word of a class or a whole id (``share-buttons``, not ``category-social``);
+articles, main elements and headings are never left out by such words, and sections inside
+an article only where their class says adverts or reader comments.
 
 Defined results: NULL, empty and text-free pages give an empty text; unclosed elements end
 with their container; plain text without tags is one block; repeated rows are extracted
@@ -45,25 +48,44 @@ DROPPED = frozenset(
     "textarea input label fieldset iframe object svg canvas audio video menu dialog math "
     "map datalist".split()
 )
+
+
 def _words(words: str) -> re.Pattern:
     """Any of the words, standing by itself in a class, id or role."""
     return re.compile(rf"(?:^|[\s_-])(?:{words})(?:$|[\s_-])", re.IGNORECASE)
 
 
+#: Words that only tell the form or the place of what a class names: ``share-buttons``.
+_AROUND = re.compile(
+    r"js|site|page|post|article|entry|blog|top|bottom|left|right|inline|sticky|floating|"
+    r"main|icons?|links?|list|buttons?|btn|bar|box|area|blocks?|sections?|wrapper|wrap|"
+    r"container|inner|outer|form|header|footer|title|slot|unit|banner|notice|widget|"
+    r"items?|posts|articles|stories|story|thread|panel|tools|menu|rail|module|to|\d+",
+    re.IGNORECASE,
+)
+_COMMENTS = r"comments?|commentlist|disqus|replies|reply|respond|responses"
+_ADVERTS = r"ads?|advert[a-z]*|adsense|sponsor[a-z]*|promo[a-z]*"
 #: Words that mark what is no main text, whatever stands beside them.
-_NOISE = _words(
-    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|"
+_NOISE = re.compile(
+    rf"{_ADVERTS}|{_COMMENTS}|cookies?|consent|gdpr|popup|modal|"
     r"overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|"
-    r"recommend\w*|comments?|commentlist|disqus|replies|reply|respond|responses|pagination|"
+    r"recommend[a-z]*|pagination|"
     r"pager|breadcrumbs?|complementary|contentinfo|navigation|navbar|paywall|copyright|"
-    r"disclaimer|skip"
+    r"disclaimer|skip",
+    re.IGNORECASE,
 )
+#: Of these the ones that no part of an article is named after by its topic.
+_FOREIGN = re.compile(rf"{_ADVERTS}|{_COMMENTS}", re.IGNORECASE)
 #: Words that mark parts of a page, or the layout of its content: ``content has-sidebar``.
-_LAYOUT = _words(
+_PARTS = (
     r"sidebar|side-bar|aside|nav|menu|header|footer|masthead|banner|notice|notices|alert|"
     r"toolbar|widget|widgets|search|breaking|tags|hidden"
 )
+_LAYOUT = _words(_PARTS)
+_PART = re.compile(rf"(?:{_PARTS})", re.IGNORECASE)
 _CONTENT = _words(r"article|content|main|post|entry|story|body|text")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_JOINTS = re.compile(r"[_-]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: An open paragraph ends where one of these starts.
 _ENDS_P = BLOCKS
@@ -81,6 +103,13 @@ _SCOPES = frozenset("ul ol dl table select body html article main section div".s
 _WHITE = re.compile(r"\s+")
 
 
+def _says(name: str, words: re.Pattern) -> bool:
+    """Whether a name holds one of the words and else only what they come in."""
+    parts = [x for x in _JOINTS.split(name) if x]
+    told = [bool(words.fullmatch(x)) for x in parts]
+    return any(told) and all(t or _AROUND.fullmatch(x) for t, x in zip(told, parts))
+
+
 @dataclass(frozen=True)
 class Extraction:
     sigma: float = 1.5
@@ -206,18 +235,40 @@ class _Lines(HTMLParser):
             return not self.articles
         if tag in ("html", "body"):
             return False
+        marks = {}
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
-            if name in ("class", "id", "role") and value:
-                marks = _HUMP.sub("-", value)
-                if _NOISE.search(marks):
-                    return True
-                if _LAYOUT.search(marks) and not _CONTENT.search(marks):
-                    return tag not in ("article", "main", "h1")
             if name == "style" and value and "display:none" in value.replace(" ", ""):
                 return True
-        return False
+            if name in ("class", "id", "role") and value:
+                marks[name] = _HUMP.sub("-", value)
+        return bool(marks) and self._is_marked(tag, marks)
+
+    def _is_marked(self, tag: str, marks: dict[str, str]) -> bool:
+        """Whether the names of an element say that it is no main text.
+
+        Only whole words of a class count, as classes also list the topics of a post, and
+        ids of headings and sections are made of their titles.
+        """
+        if tag in ("article", "main") or tag in _HEADINGS:
+            return False
+        names = [w for x in ("class", "role") for w in marks.get(x, "").split()]
+        section = tag == "section" or "section" in names
+        if section and self.articles:
+            return any(_says(w, _FOREIGN) for w in names)
+        names += [marks["id"]] if "id" in marks else []
+        if any(_says(w, _NOISE) for w in names):
+            return True
+        if self.articles:
+            return any(_PART.fullmatch(w) for w in names) and not any(
+                _CONTENT.search(x) for x in marks.values()
+            )
+        if section:
+            marks = {x: v for x, v in marks.items() if x != "id"}
+        return any(
+            _LAYOUT.search(x) and not _CONTENT.search(x) for x in marks.values()
+        )
 
 
 def text_tag_ratios(lines: list[Line]) -> np.ndarray:

@@ -59,6 +59,36 @@ def test_extract_on_frames(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+#: Pages whose names hold words of noise, and what a reader takes for their main text.
+PROSE = [f"Paragraph {i} of the report tells what was found in the year." for i in range(6)]
+NAMED_PAGES = [
+    (f'<body><nav>x</nav><article class="post category-social tag-login"><h1>Title</h1><p>{PROSE[0]}</p></article>'
+     '<div class="share-buttons">Tell it</div>', ["Title", PROSE[0]]),
+    (f'<article><h2 id="social-impact">Social impact</h2><p>{PROSE[0]}</p><section id="related-work">'
+     f'<h2>Related work</h2><p>{PROSE[1]}</p></section><section id="login"><p>{PROSE[2]}</p></section>'
+     '<div class="ad">Buy</div><div class="related-posts">More</div><section class="comments-area">Nice</section>'
+     f'<div class="copyright-law"><p>{PROSE[3]}</p></div></article>',
+     ["Social impact", PROSE[0], "Related work", *PROSE[1:4]]),
+    (f'<main id="consent"><h3 class="share">Share of wind</h3><p>{PROSE[0]}</p><h2 id="search">Search</h2>'
+     f'<section id="notice"><p>{PROSE[1]}</p></section><div id="comments">Nice</div></main>',
+     ["Share of wind", PROSE[0], "Search", PROSE[1]]),
+    (f'<body><div class="post category-social"><p>{PROSE[0]}</p><p>{PROSE[1]}</p></div>'
+     '<div class="social-share">Tell it</div><div id="site-footer">us</div><div class="relatedPosts">More</div>',
+     PROSE[:2]),
+]
+
+
+def text_recall(pages):
+    lines = [(line, got) for html, want in pages for got in [html_text.main_text(html).split("\n")] for line in want]
+    return sum(line in got for line, got in lines) / len(lines)
+
+
+def test_words_of_names_do_not_drop_content():
+    assert text_recall(NAMED_PAGES) == 1.0
+    for html, want in NAMED_PAGES:
+        assert html_text.main_text(html) == "\n".join(want)
+
+
 # Quality rules
 
 
