@@ -6,8 +6,12 @@ its tags and its links. The text-to-tag ratio of the lines is smoothed by a Gaus
 short line inside an article takes part in its neighbourhood, and lines above a threshold
 are content. Content lines near each other form a cluster, and the clusters select the
 regions: an element that the page marks as an article is one region and is kept whole if
-it holds a cluster; elsewhere a region reaches from the first to the last line of its
-cluster. Lines that are mostly links are menus and are left out of unmarked regions.
+it holds a content line; elsewhere a region reaches from the first to the last line of its
+cluster, and clusters of one container are one region with what stands between them, such
+as a table or code. Every region with content is kept, however small. Beside marked
+regions unmarked ones are kept too, unless all their content together has less than
+``unmarked_share`` of the text of the marked ones. Lines that are mostly links are menus
+and are left out of unmarked regions.
 
 Menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles
 and reader comments are left out by what they are marked as, before ratios are taken. A
@@ -23,7 +27,6 @@ each by itself; stray closing tags are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -100,6 +103,8 @@ _SELF_CLOSING = {
 }
 #: Elements that bound the search for what a start tag closes by itself.
 _SCOPES = frozenset("ul ol dl table select body html article main section div".split())
+#: Elements whose lines belong together.
+_CONTAINERS = frozenset("div section center td article main".split())
 _WHITE = re.compile(r"\s+")
 
 
@@ -117,7 +122,7 @@ class Extraction:
     threshold: float = 0.35
     max_link_share: float = 0.6
     max_gap: int = 3
-    min_cluster_share: float = 0.2
+    unmarked_share: float = 0.2
 
 
 @dataclass
@@ -128,6 +133,7 @@ class Line:
     tags: int = 0
     linked: int = 0
     article: int = 0
+    container: int = 0
     text: str = ""
 
 
@@ -143,6 +149,10 @@ class _Lines(HTMLParser):
         self.links = 0
         self.lines: list[Line] = []
         self.line = Line()
+        #: First line of each container, the one after its last, and the container that
+        #: its lines belong to, which for a cell is the one around the table; 0 is the page.
+        self.reach: list[list[int]] = [[0, -1, 0]]
+        self.inside = [0]
 
     def break_line(self) -> None:
         text = _WHITE.sub(" ", "".join(self.line.parts)).strip()
@@ -172,6 +182,11 @@ class _Lines(HTMLParser):
         self.articles += article
         self.links += tag == "a"
         self.open.append((tag, drop, article))
+        if tag in _CONTAINERS:
+            number = len(self.reach)
+            whole = self.reach[self.inside[-1]][2] if tag == "td" else number
+            self.inside.append(number)
+            self.reach.append([len(self.lines), -1, whole])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # A slash at the end closes nothing in HTML unless the element is void.
@@ -192,6 +207,8 @@ class _Lines(HTMLParser):
         if self.dropped:
             return
         self.line.parts.append(data)
+        if not self.line.container and data.strip():
+            self.line.container = self.inside[-1]
         if self.articles and not self.line.article:
             self.line.article = self.article
         if self.links:
@@ -200,6 +217,8 @@ class _Lines(HTMLParser):
     def finish(self) -> list[Line]:
         self.close()
         self.break_line()
+        for container in self.inside:
+            self.reach[container][1] = len(self.lines)
         return self.lines
 
     def _close_implied(self, tag: str) -> None:
@@ -225,6 +244,8 @@ class _Lines(HTMLParser):
             self.dropped -= drop
             self.articles -= article
             self.links -= tag == "a"
+            if tag in _CONTAINERS:
+                self.reach[self.inside.pop()][1] = len(self.lines)
         del self.open[i:]
 
     def _is_noise(self, tag: str, attrs: list) -> bool:
@@ -299,38 +320,49 @@ def main_text(html: str | None, how: Extraction = Extraction()) -> str:
     smoothed = smooth(text_tag_ratios(lines), how)
     # Relative to the page, so that a page of even lines is all content.
     content = smoothed >= how.threshold * float(smoothed.mean())
-    kept = _marked_regions(lines, content, how) or _clusters(lines, content, how)
-    return "\n".join(lines[i].text for i in kept)
-
-
-def _marked_regions(
-    lines: list[Line], content: np.ndarray, how: Extraction
-) -> list[int]:
-    """Lines of the marked elements that hold content, without much smaller ones."""
-    mass: Counter[int] = Counter()
-    for line, is_content in zip(lines, content):
-        mass[line.article] += len(line.text) * bool(is_content)
-    del mass[0]
-    most = max(mass.values(), default=0)
-    regions = {r for r, m in mass.items() if m and m >= how.min_cluster_share * most}
+    marked = _marked_regions(lines, content)
+    found = _clusters(lines, content, parser.reach, how)
+    if marked:
+        sizes = [
+            sum(len(lines[i].text) for i in part if content[i]) for part in (found, marked)
+        ]
+        if sizes[0] < how.unmarked_share * sizes[1]:
+            found = []
+    return "\n".join(lines[i].text for i in sorted({*marked, *found}))
+
+
+def _marked_regions(lines: list[Line], content: np.ndarray) -> list[int]:
+    """Lines of the marked elements that hold content."""
+    regions = {x.article for x, is_content in zip(lines, content) if is_content} - {0}
     return [i for i, x in enumerate(lines) if x.article in regions]
 
 
-def _clusters(lines: list[Line], content: np.ndarray, how: Extraction) -> list[int]:
-    """Lines of the clusters that have a fair share of the largest one's text."""
+def _clusters(
+    lines: list[Line], content: np.ndarray, reach: list[list[int]], how: Extraction
+) -> list[int]:
+    """Lines of the clusters outside marked elements."""
     menu = np.array([x.linked > how.max_link_share * len(x.text) for x in lines])
-    at = np.flatnonzero(content & ~menu)
+    own = np.array([not x.article for x in lines])
+    at = np.flatnonzero(content & ~menu & own)
     if not len(at):
         return []
-    runs = np.split(at, np.flatnonzero(np.diff(at) > how.max_gap) + 1)
-    mass = [sum(len(lines[i].text) for i in run) for run in runs]
-    return [
-        i
-        for run, m in zip(runs, mass)
-        if m >= how.min_cluster_share * max(mass)
-        for i in range(run[0], run[-1] + 1)
-        if not menu[i]
-    ]
+    # Whether the lines from a line of the page itself on are all its own.
+    nested = np.cumsum([x.container > 0 for x in lines])
+
+    def together(a: int, b: int) -> bool:
+        if b - a <= how.max_gap:
+            return True
+        if not lines[a].container and not lines[b].container:
+            return bool(nested[a] == nested[b])
+        above, below = (reach[lines[i].container][2] for i in (a, b))
+        return (above > 0 and reach[above][1] > b) or (below > 0 and reach[below][0] <= a)
+
+    kept = np.zeros(len(lines), dtype=bool)
+    kept[at] = True
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if together(a, b):
+            kept[a:b] = True
+    return np.flatnonzero(kept & ~menu & own).tolist()
 
 
 def extract(

@@ -89,6 +89,30 @@ def test_words_of_names_do_not_drop_content():
         assert html_text.main_text(html) == "\n".join(want)
 
 
+LONG = "".join(f"<p>{'word ' * 30}number {i}.</p>" for i in range(20))
+CLOSING = " ".join(PROSE)
+ROWS = "".join(f"<tr><td><b>{i}</b></td><td><i>r{i}</i></td></tr>" for i in range(12))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><article>{LONG}</article><article><p>{CLOSING}</p></article></body>",
+        f"<body><div>{LONG}<table>{ROWS}</table><p>{CLOSING}</p></div></body>",
+        f"<body><div>{LONG}</div><article><p>{CLOSING}</p></article></body>",
+    ],
+)
+def test_small_regions_and_unmarked_bodies_stay(page):
+    got = html_text.main_text(page).split("\n")
+    assert CLOSING in got and sum("number" in line for line in got) == 20
+    assert ("r7" in got) == ("<table>" in page)
+
+
+def test_little_unmarked_text_beside_an_article_is_left_out():
+    page = f"<body><div><p>Read us daily, at any place.</p></div><article>{LONG}</article>"
+    assert html_text.main_text(page).count("\n") == 19
+
+
 # Quality rules
 
 
