@@ -12,12 +12,14 @@ first (sample suffixes are sorted by bucket, equal ones tie), and a suffix is a
 only if a sample position within v bytes of it tied. Candidates, one tenth of the bytes or
 so, are sorted by bucket to full depth; those that tie are the repeated strings.
 
-Texts are staged once, in packs: the rows of one input task. A pack sends the fingerprints
-of its suffixes to the buckets packed in blocks, and a bucket answers with one bit for each.
+Texts are staged once, in packs: rows of one input task, cut by bytes at the ends of texts.
+A pack sorts the fingerprints of its suffixes and sends each distinct one once, with a bit
+that tells whether the pack has it twice; the bucket answers with one bit for each of them.
+So a string costs a bucket at most one fingerprint a pack, however often it repeats, and
+periodic text (rule lines, padding, one passage again and again) sends next to nothing.
 A bucket is chosen by one hash and sorted by another of 64 bits, and the number of buckets
-grows with the input, so chance ties stay improbable at any size. Memory is bounded by a
-pack and by a bucket, and both by their settings, whatever repeats how often: equal strings
-add bits, not pairs.
+grows with the packs, so chance ties stay improbable at any size. Memory is bounded by a
+pack, or by one text that is longer, and by a bucket.
 
 Defined results: NULL and empty texts have no bytes and nothing removed; repeated rows and
 copies of at least ``length`` bytes are removed whole, each of them; shorter texts never
@@ -28,11 +30,13 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +53,15 @@ class Settings:
     period: int = 133
     cover: tuple[int, ...] = (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)
     buckets_per_pack: int = 4
+    pack_bytes: int = 16 << 20
 
     @property
     def sample_length(self) -> int:
         return self.length - self.period + 1
 
 
-_SENT = "part int, pack int, block binary"
-_ANSWER = "pack int, kind int, part int, bits binary"
+_SENT = "part int, pack long, n int, block binary"
+_ANSWER = "pack long, kind int, part int, bits binary"
 
 
 class Pack:
@@ -101,36 +106,60 @@ class Pack:
             print_[first:last] = Prefix(piece, 0).hashes(s, s + length)
         return part, print_
 
-    def blocks(self, pack: int, at: np.ndarray, length: int, width: int) -> pa.Table:
-        """Fingerprints of ``width`` bytes, a block for each bucket, in order of place."""
+    def distinct(
+        self, at: np.ndarray, length: int, width: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct fingerprints of ``width`` bytes, sorted by bucket.
+
+        The sorted places in ``at``, where each distinct value begins among them, the
+        values, and where each bucket begins among the values.
+        """
         part, print_ = self.fingerprints(at, length)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(self.parts + 1))
-        raw = print_[order].view(np.uint8).reshape(-1, 8)[:, :width]
+        if width < 8:
+            print_ &= np.uint64((1 << 8 * width) - 1)
+        order = np.argsort(print_)
+        order = order[np.argsort(part[order], kind="stable")]
+        part, print_ = part[order], print_[order]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (print_[1:] != print_[:-1]) | (part[1:] != part[:-1])
+        first = np.flatnonzero(new)
+        cuts = np.searchsorted(part[first], np.arange(self.parts + 1))
+        return order, first, print_[first], cuts
+
+    def blocks(self, pack: int, at: np.ndarray, length: int, width: int) -> pa.Table:
+        """Distinct fingerprints and a bit for those of several places, by bucket."""
+        _, first, print_, cuts = self.distinct(at, length, width)
+        twice = np.diff(first, append=len(at)) > 1
+        raw = print_.view(np.uint8).reshape(-1, 8)[:, :width]
         data = np.ascontiguousarray(raw).tobytes()
         full = np.flatnonzero(np.diff(cuts))
         return pa.table(
             {
                 "part": pa.array(full.astype(np.int32)),
-                "pack": pa.array(np.full(len(full), pack, dtype=np.int32)),
+                "pack": pa.array(np.full(len(full), pack, dtype=np.int64)),
+                "n": pa.array(np.diff(cuts)[full].astype(np.int32)),
                 "block": pa.array(
-                    [data[cuts[p] * width : cuts[p + 1] * width] for p in full],
+                    [
+                        data[cuts[p] * width : cuts[p + 1] * width]
+                        + np.packbits(twice[cuts[p] : cuts[p + 1]]).tobytes()
+                        for p in full
+                    ],
                     pa.binary(),
                 ),
             }
         )
 
-    def tied(self, at: np.ndarray, length: int, answers: dict[int, bytes]) -> np.ndarray:
-        """Of the positions those that their bucket found equal to another."""
-        part, _ = self.fingerprints(at, length)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(self.parts + 1))
-        flag = np.zeros(len(at), dtype=bool)
+    def tied(
+        self, at: np.ndarray, length: int, width: int, answers: dict[int, bytes]
+    ) -> np.ndarray:
+        """Of the positions those whose string also starts elsewhere."""
+        order, first, _, cuts = self.distinct(at, length, width)
+        flag = np.zeros(len(first), dtype=bool)
         for p, bits in answers.items():
             held = slice(int(cuts[p]), int(cuts[p + 1]))
             n = held.stop - held.start
             flag[held] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
-        return at[np.sort(order[flag])]
+        return at[np.sort(order[np.repeat(flag, np.diff(first, append=len(at)))])]
 
     def candidates(self, tied: np.ndarray) -> np.ndarray:
         """Starts of full strings that have a tied sample position within the period."""
@@ -165,18 +194,21 @@ def _sort_bucket(kind: int, width: int):
 
     def run(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_pylist()
-        sizes = np.array([len(b) // width for b in blocks], dtype=np.int64)
+        sizes = rows.column("n").to_numpy().astype(np.int64)
         raw = np.zeros((int(sizes.sum()), 8), dtype=np.uint8)
-        raw[:, :width] = np.frombuffer(b"".join(blocks), np.uint8).reshape(-1, width)
+        tie = np.zeros(len(raw), dtype=bool)
+        ends = np.cumsum(sizes)
+        for block, end, n in zip(blocks, ends.tolist(), sizes.tolist()):
+            bytes_ = np.frombuffer(block, np.uint8)
+            raw[end - n : end, :width] = bytes_[: n * width].reshape(n, width)
+            tie[end - n : end] = np.unpackbits(bytes_[n * width :], count=n)
         value = raw.view(np.uint64).ravel()
         order = np.argsort(value)
         ranked = value[order]
         equal = ranked[1:] == ranked[:-1]
-        tie = np.zeros(len(value), dtype=bool)
         tie[order[1:]] |= equal
         tie[order[:-1]] |= equal
         out = []
-        ends = np.cumsum(sizes)
         for i, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist())):
             mine = tie[end - size : end]
             if mine.any():
@@ -194,24 +226,47 @@ def _sort_bucket(kind: int, width: int):
     return run
 
 
-def _stage_packs(docs: DataFrame) -> tuple[DataFrame, int, str]:
-    """Write the texts once, bucketed by the input task that read them.
+def _in_packs(docs: DataFrame, how: Settings) -> DataFrame:
+    """The texts with the pack they belong to and their row in their input task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, held, row = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            packs = []
+            for size in sizes:
+                if held and held + size > how.pack_bytes:
+                    pack, held = pack + 1, 0
+                held += size
+                packs.append(pack)
+            rows = np.arange(row, row + len(packs), dtype=np.int64)
+            row += len(packs)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(packs, pa.int64()), pa.array(rows)],
+                names=["doc_id", "text", "pack", "row"],
+            )
+
+    return docs.mapInArrow(run, "doc_id long, text string, pack long, row long")
+
+
+def _stage_packs(docs: DataFrame, how: Settings) -> tuple[DataFrame, int, str]:
+    """Write the texts once, bucketed by pack, and count the packs.
 
-    Every task writes one file, and later steps meet the answers of the buckets without
-    moving the texts again.
+    Later steps meet the answers of the buckets without moving the texts again.
     """
     spark = docs.sparkSession
     tasks = max(1, docs.rdd.getNumPartitions())
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"packs_{uuid.uuid4().hex}"
     (
-        docs.withColumn("pack", F.spark_partition_id())
-        .withColumn("row", F.monotonically_increasing_id())
+        _in_packs(docs, how)
         .write.option("compression", "zstd")
         .option("path", new_folder(spark, "packs"))
-        .bucketBy(tasks, "pack")
+        .bucketBy(min(max(tasks, shuffles), 10_000), "pack")
         .saveAsTable(name)
     )
-    return spark.table(name), tasks, name
+    packs = spark.table(name)
+    return packs, packs.select("pack").distinct().count(), name
 
 
 def repeated_strings(
@@ -223,9 +278,9 @@ def repeated_strings(
     ``kept`` is the hash of the bytes that stay.
     """
     chosen = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    packs, tasks, name = _stage_packs(chosen)
+    packs, n_packs, name = _stage_packs(chosen, how)
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(1 << 16, max(how.buckets_per_pack * tasks, shuffles))
+    parts = min(1 << 16, max(how.buckets_per_pack * n_packs, shuffles))
 
     def sample_blocks(key: tuple, rows: pa.Table) -> pa.Table:
         pack = Pack(rows, how, parts)
@@ -237,7 +292,7 @@ def repeated_strings(
     )
 
     def candidate_starts(pack: Pack, answers: pa.Table) -> np.ndarray:
-        tied = pack.tied(pack.sample(), how.sample_length, _answers(answers, 0))
+        tied = pack.tied(pack.sample(), how.sample_length, 5, _answers(answers, 0))
         return pack.candidates(tied)
 
     def candidate_blocks(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -254,7 +309,7 @@ def repeated_strings(
         pack = Pack(rows, how, parts)
         starts = candidate_starts(pack, answers)
         first, last = pack.removed(
-            pack.tied(starts, how.length, _answers(answers, 1))
+            pack.tied(starts, how.length, 8, _answers(answers, 1))
         )
         n_bytes, spans, kept = [], [], []
         cuts = np.searchsorted(first, pack.offsets)

@@ -103,6 +103,28 @@ def test_the_cover_has_every_difference_and_long_texts_work(spark):
     assert substrings.repeated_strings(docs.limit(0)).collect() == []
 
 
+def test_a_pack_sends_a_repeated_string_once_and_is_cut_by_bytes(spark):
+    how = substrings.Settings()
+    rows = pa.table({"row": [0, 1], "doc_id": [1, 2], "text": ["-" * 50_000, "ab" * 25_000]})
+    pack = substrings.Pack(rows, how, 7)
+    at = np.concatenate([np.arange(49_601), 50_000 + np.arange(49_601)])
+    sent = pack.blocks(0, at, how.length, 8)
+    # One string of dashes and two of a and b, each with the bit of a repeated one.
+    assert sum(sent.column("n").to_pylist()) == 3
+    assert sum(map(len, sent.column("block").to_pylist())) <= 3 * 9
+    texts = string_rows() + [(40, "=" * 5_000), (41, "no repeat"), (42, "-=" * 2_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    small = substrings.Settings(pack_bytes=1_500)
+    assert substrings._in_packs(docs, small).select("pack").distinct().count() > 5
+    got = [
+        (r["doc_id"], sum(s["end"] - s["start"] for s in r["spans"]), r["kept"])
+        for r in substrings.repeated_strings(docs, how=small).collect()
+    ]
+    want = [(i, n, k) for i, _, n, _, k in brute_strings(texts, 400)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+
 # Tokens
 
 
