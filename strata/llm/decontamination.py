@@ -1,9 +1,14 @@
 """Benchmark decontamination by CGK embeddings and bit-sampling LSH.
 
 Texts and benchmark items are sequences of words (runs of letters and digits, A-Z in lower
-case). An item is found in a text where the edit distance in words between it and some
+case; in scripts without spaces, Chinese, Japanese, Thai, Lao, Khmer and Burmese, each
+character). An item is found in a text where the edit distance in words between it and some
 stretch of the text is at most ``max_percent`` of its words.
 
+Items below ``min_words`` words are searched exactly: their whole sequence of words is one
+hash, looked up among the hashes of the windows of that size in the same pass. An item of
+one word thus is found in every text with that word.
+
 The CGK embedding walks over a sequence: at each step it writes the word it stands on and
 moves on or not, by a random bit of the step and the word. Two sequences a few edits apart
 fall into step again after each edit, so their walks agree at most steps: edit distance has
@@ -24,8 +29,8 @@ and nothing is shuffled.
 Recall, measured in the tests: whole items are always found, items with 10 % of their words
 changed, dropped or added to more than 0.95.
 
-Defined results: NULL and empty texts and items match nothing; items below ``min_words``
-words are not searched; a text is reported once for each item with its closest stretch, the
+Defined results: NULL and empty texts and items and items without any word match nothing;
+items below ``min_words`` words match at distance 0 only; a text is reported once for each item with its closest stretch, the
 first of equals; repeated rows are searched each by itself, repeated items too.
 """
 
@@ -76,12 +81,18 @@ class SizeClass:
 
 @dataclass(frozen=True)
 class Items:
-    """``table`` has a bit for each class, by 20 bits of the hash of a long word."""
+    """``table`` has a bit for each class, by 20 bits of the hash of a long word.
+
+    ``short`` has, by number of words, sorted hashes of short items and the item of each;
+    ``heads`` marks their first words by 20 bits.
+    """
 
     ids: list[int]
     words: list[np.ndarray]
     table: np.ndarray
     classes: list[SizeClass]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
+    heads: np.ndarray
 
 
 _MASK = np.uint64((1 << 20) - 1)
@@ -92,11 +103,138 @@ def edits_allowed(n: int, how: Settings) -> int:
     return n * how.max_percent // 100
 
 
+#: First and last character of the scripts without spaces.
+_UNSPACED = (
+    (0x0E01, 0x0EDF),
+    (0x1000, 0x109F),
+    (0x1780, 0x17D3),
+    (0x3005, 0x3007),
+    (0x3041, 0x30FA),
+    (0x30FC, 0x30FF),
+    (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF),
+    (0x20000, 0x3FFFF),
+)
+#: Marks of these scripts.
+_UNSPACED_MARKS = (
+    (0x104A, 0x104F),
+    (0x17D4, 0x17DA),
+    (0x3000, 0x3004),
+    (0x3008, 0x3040),
+    (0x30FB, 0x30FB),
+    (0xFF00, 0xFF0F),
+    (0xFF1A, 0xFF20),
+    (0xFF3B, 0xFF40),
+    (0xFF5B, 0xFF65),
+)
+
+
+def _within(code: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    inside = np.zeros(len(code), dtype=bool)
+    for first, last in ranges:
+        inside |= (code >= first) & (code <= last)
+    return inside
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where characters of scripts without spaces start, their bytes, which are marks."""
+    three = np.flatnonzero((data >= 0xE0) & (data < 0xF0))
+    four = np.flatnonzero(data >= 0xF0)
+    d = data.astype(np.int32)
+
+    def tail(at: np.ndarray, k: int) -> np.ndarray:
+        return d[at + k] & 0x3F
+
+    code3 = (d[three] & 0x0F) << 12 | tail(three, 1) << 6 | tail(three, 2)
+    code4 = (d[four] & 0x07) << 18 | tail(four, 1) << 12 | tail(four, 2) << 6
+    code4 |= tail(four, 3)
+    at = np.concatenate([three, four])
+    code = np.concatenate([code3, code4])
+    size = np.repeat(np.array([3, 4]), [len(three), len(four)])
+    marks = _within(code, _UNSPACED_MARKS)
+    keep = np.flatnonzero(marks | _within(code, _UNSPACED))
+    keep = keep[np.argsort(at[keep])]
+    return at[keep], size[keep], marks[keep]
+
+
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, their lengths in bytes, and the number of words of each text."""
+    """Word hashes, their lengths in bytes, and the number of words of each text.
+
+    A character of a script without spaces is a word, and as rare as a long one.
+    """
     data, offsets = utf8(texts)
-    hashes, starts, ends, counts = word_hashes(data, offsets, separators=MARKS)
-    return hashes, ends - starts, counts
+    if not (data >= 0xE0).any():
+        hashes, starts, ends, counts = word_hashes(data, offsets, separators=MARKS)
+        return hashes, ends - starts, counts
+    at, size, marks = _unspaced(data)
+    # The words between these characters, as if they were blank.
+    rest = data.copy()
+    for k in range(4):
+        rest[at[size > k] + k] = 32
+    hashes, starts, ends, _ = word_hashes(rest, offsets, separators=MARKS)
+    at, size = at[~marks], size[~marks]
+    code = np.zeros(len(at), dtype=np.uint64)
+    for k in range(4):
+        own = size > k
+        code[own] = code[own] << np.uint64(8) | data[at[own] + k]
+    start = np.concatenate([starts, at])
+    order = np.argsort(start, kind="stable")
+    lengths = np.concatenate([ends - starts, np.full(len(at), 1 << 20)])
+    hashes = np.concatenate([hashes, mix(mix(code) + np.uint64(1))])
+    counts = np.diff(np.searchsorted(start[order], offsets))
+    return hashes[order], lengths[order], counts
+
+
+def _sequences(words: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each start."""
+    key = np.full(len(start), n, dtype=np.uint64)
+    for k in range(n):
+        key = mix(key + words[start + k])
+    return key
+
+
+def _short_items(
+    words: list[np.ndarray], how: Settings
+) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Hashes of the items below ``min_words`` words, and marks of their first words."""
+    sizes: dict[int, list[int]] = {}
+    heads = np.zeros(1 << 20, dtype=bool)
+    for i, w in enumerate(words):
+        if 0 < len(w) < how.min_words:
+            sizes.setdefault(len(w), []).append(i)
+            heads[int(w[0] & _MASK)] = True
+    short = {}
+    for n, group in sizes.items():
+        joined = np.concatenate([words[i] for i in group])
+        key = _sequences(joined, np.arange(len(group)) * n, n)
+        rank = np.argsort(key, kind="stable")
+        short[n] = key[rank], np.array(group)[rank]
+    return short, heads
+
+
+def _exact(
+    words: np.ndarray, end: np.ndarray, text_of: np.ndarray, items: Items
+) -> Iterator[tuple[int, int]]:
+    """``(start, item)`` of the first place of each short item in each text."""
+    if not items.short:
+        return
+    at = np.flatnonzero(items.heads[(words & _MASK).astype(np.int64)])
+    for n, (keys, owners) in items.short.items():
+        start = at[at + n <= end[at]]
+        key = _sequences(words, start, n)
+        low = np.searchsorted(keys, key)
+        hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == key)
+        # The first place for each text and key.
+        _, first = np.unique(
+            np.stack([text_of[start[hit]], low[hit]]), axis=1, return_index=True
+        )
+        for i in hit[first].tolist():
+            k = int(low[i])
+            while k < len(keys) and keys[k] == key[i]:
+                yield int(start[i]), int(owners[k])
+                k += 1
 
 
 def _step(
@@ -206,7 +344,7 @@ def prepare(ids: list[int], texts: list[str | None], how: Settings = Settings())
             size.keys.append(key[rank])
             size.owners.append(np.array(group)[rank])
         classes.append(size)
-    return Items(ids, words, table, classes)
+    return Items(ids, words, table, classes, *_short_items(words, how))
 
 
 def _sieved(
@@ -295,6 +433,8 @@ def search(
     best: dict[tuple[int, int], tuple[int, int]] = {}
     seen: set[tuple[int, int]] = set()
     first = stops - counts
+    for start, item in _exact(words, end, text_of, items):
+        best[int(text_of[start]), item] = (0, start)
     for start, item in _candidates(words, first[text_of], end, items):
         if (start, item) in seen:
             continue

@@ -275,6 +275,24 @@ def test_matches_on_frames(spark):
     assert decontamination.matches(docs, bench.limit(0)).collect() == []
 
 
+def test_short_and_unspaced_items_are_found():
+    items = ["What is the capital of Peru?", "Lima", "日本の首都はどこですか。", "東京は日本の首都であり、最大の都市です。", "?!", "กรุงเทพ", "one two"]
+    held = decontamination.prepare(list(range(len(items))), items)
+    texts = [
+        "He asked: what is the CAPITAL of Peru -- Lima, of course, Lima.",
+        "What is the capital of", "of Peru", None, "",
+        "はい。日本の首都はどこですか？それは東京です。",
+        "昔から東京は日本の首都であり、最大の街です。",
+        "อยู่กรุงเทพมา", "two one", "limap", "日本 one", "two",
+    ]
+    found = {(t, i, w, d) for t, i, w, d in decontamination.search(pa.array(texts), held)}
+    # One character more and two less: the fourth item is found by its edit distance.
+    assert {x for x in found if x[1] != 3} == {(0, 0, 2, 0), (0, 1, 8, 0), (5, 2, 2, 0), (7, 5, 4, 0)}
+    assert {x[:2] for x in found if x[1] == 3} == {(6, 3)}
+    words, _, counts = decontamination._words(pa.array(["ab日本c。d", "é x", "𠀀𠀁"]))
+    assert counts.tolist() == [5, 2, 2] and len(set(words.tolist())) == 9
+
+
 # Mixing
 
 
