@@ -19,9 +19,11 @@ Recall: with 32 bands of 4 a pair at the limit of 0.75 misses every band with pr
 4.5 deviations of their estimates below the similarity limit.
 
 Defined results: NULL, empty and blank texts have an empty set and are linked with nothing;
-a text of fewer than five words is one shingle of all its words; rows that repeat an id are
-linked each by its own text, and share a component where that id stands for both texts;
-rows without id get the component of their copies, NULL if they have none, and are not kept.
+a text of fewer than five words is one shingle of all its words; rows are told apart by a
+hash of id and text, so rows that repeat an id and rows without id are linked each by its
+own text. A component has the smallest id in it as its name, NULL if no row of it has an id;
+rows that repeat that id in it are all marked as kept, and rows without id never are.
+``drop_duplicates`` keeps one row of every component, whether it has an id or not.
 """
 
 from __future__ import annotations
@@ -165,17 +167,18 @@ def _features(docs: DataFrame, how: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.array([len(s) for s in sets], pa.int64()),
                         *[pa.array(k) for k in keys],
                         _lists(_bands(found, how)),
                         _lists(odd_sketches(found, how.sketch_words)),
                     ],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
+                    names=["doc_id", "row", "n_shingles", "k1", "k2", "bands", "sketch"],
                 )
 
     return docs.mapInArrow(
         run,
-        "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, "
+        "doc_id long, row long, n_shingles long, k1 long, k2 long, bands array<long>, "
         "sketch array<long>",
     )
 
@@ -195,7 +198,7 @@ def _sets(docs: DataFrame, how: Settings) -> DataFrame:
                 values = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
                     ],
                     names=["node", "shingles"],
@@ -252,7 +255,7 @@ def _close(a: str, b: str, how: Settings) -> Column:
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, how: Settings) -> DataFrame:
     """Staged sets of the nodes, read from the texts again."""
-    texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
+    texts = docs.join(nodes, docs["row"] == nodes["node"], "left_semi")
     return staged(_sets(texts, how), "shingle-sets")
 
 
@@ -291,20 +294,44 @@ def _shareable(sets: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _row_key(id: Column, text: Column) -> Column:
+    """Tells rows apart; those of equal id and text are copies and share one."""
+    return F.xxhash64(id.isNull(), id, text)
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", how: Settings = Settings()
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id and kept."""
+    return _labelled(docs, id, text, how).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )
+
+
+def _labelled(docs: DataFrame, id: str, text: str, how: Settings) -> DataFrame:
+    """One row per input row: doc_id, row, n_shingles, component_id and chosen.
+
+    ``chosen`` is the row key of the one row of the component that stays, the one with
+    the smallest id; NULL for rows without shingles, which are copies of nothing.
+    """
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.withColumn("row", _row_key(F.col("doc_id"), F.col("text")))
     features = staged(_features(docs, how), "minhash")
     full = features.filter(F.col("n_shingles") > 0)
-    # Texts with equal sets are one node, named by the smallest id.
+    # Texts with equal sets are one node: the row with the smallest id.
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
     classes = staged(
-        full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "minhash-classes"
+        full.groupBy("k1", "k2")
+        .agg(best.alias("best"))
+        .select("k1", "k2", F.col("best.row").alias("node"), "best"),
+        "minhash-classes",
     )
     nodes = staged(
         full.join(classes, ["k1", "k2"])
-        .filter(F.col("doc_id") == F.col("node"))
+        .filter(F.col("row") == F.col("node"))
         .select("node", "n_shingles", "bands", "sketch")
         .dropDuplicates(["node", "bands"]),
         "minhash-nodes",
@@ -331,7 +358,7 @@ def near_duplicates(
         .distinct()
     )
     # Every confirmation needs only the text of a node's own row.
-    own = docs.join(nodes.select("node"), docs["doc_id"] == F.col("node"), "left_semi")
+    own = docs.join(nodes.select("node"), docs["row"] == F.col("node"), "left_semi")
     stars = staged(stars, "candidates")
     ends = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     links = staged(_confirmed(stars, _full_sets(own, ends, how), how), "links")
@@ -366,22 +393,23 @@ def near_duplicates(
     )
     more = staged(_confirmed(staged(rest, "candidates"), sets, how), "links")
     last = roots(links.unionAll(more)) if not more.isEmpty() else first
-    labelled = classes.join(last, "node", "left").select(
-        "k1", "k2", F.coalesce("root", "node").alias("component")
+    rooted = classes.join(last, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
     )
+    # Nodes are numbered by hashes, so the smallest id of a component is found here.
+    names = rooted.groupBy("root").agg(F.min("best").alias("first"))
+    labelled = rooted.select("k1", "k2", "root").join(names, "root").drop("root")
     return (
-        features.select("doc_id", "n_shingles", "k1", "k2")
+        features.select("doc_id", "row", "n_shingles", "k1", "k2")
         .join(labelled, ["k1", "k2"], "left")
         .select(
             "doc_id",
+            "row",
             "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("component"))
+            F.when(F.col("n_shingles") > 0, F.col("first.doc_id"))
             .otherwise(F.col("doc_id"))
             .alias("component_id"),
-        )
-        .withColumn(
-            "kept",
-            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)),
+            F.when(F.col("n_shingles") > 0, F.col("first.row")).alias("chosen"),
         )
     )
 
@@ -412,25 +440,32 @@ def _mixed_buckets(
 def drop_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", how: Settings = Settings()
 ) -> DataFrame:
-    """One document of each group, with all its columns: the one with the smallest id.
+    """One row of each component, with all its columns: the one with the smallest id.
 
-    Of rows that repeat an id the one with the smallest hash of its text stays; rows
-    without id are dropped.
+    Of rows with that id the one with the smallest row key stays, and of rows of equal id
+    and text one. Rows without shingles are copies of nothing and all stay, but one of
+    those that have an id and are equal in id and text.
     """
+    labels = _labelled(docs, id, text, how)
     kept = (
-        near_duplicates(docs, id, text, how)
-        .filter("kept")
-        .select(F.col("doc_id").alias("kept_id"))
+        labels.filter(F.coalesce(F.col("row") == F.col("chosen"), F.col("chosen").isNull()))
+        .select(
+            F.col("row").alias("kept_row"),
+            (F.col("chosen").isNull() & F.col("doc_id").isNull()).alias("each"),
+        )
         .distinct()
     )
+    # Maps have no hash.
+    hashed = [docs[c] for c, kind in docs.dtypes if "map<" not in kind]
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[id].cast("long").alias("key"),
-        F.xxhash64(docs[text]).alias("tie"),
-    )
+        F.xxhash64(*hashed).alias("tie"),
+        _row_key(docs[id].cast("long"), docs[text]).alias("key"),
+    ).join(kept, F.col("key") == F.col("kept_row"))
+    single = packed.filter(~F.col("each")).groupBy("key")
     return (
-        packed.join(kept, packed["key"] == kept["kept_id"], "left_semi")
-        .groupBy("key")
-        .agg(F.min_by("row", "tie").alias("row"))
+        single.agg(F.min_by("row", "tie").alias("row"))
+        .select("row")
+        .unionAll(packed.filter("each").select("row"))
         .select("row.*")
     )

@@ -102,6 +102,24 @@ def test_extra_columns_repeats_and_missing_ids(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 9]
 
 
+def test_rows_without_id_or_with_a_repeated_id_stay_by_their_text(spark):
+    words = [f"u{i}" for i in range(60)]
+    near = [*words[:30], "other", *words[31:]]
+    rows = [(None, " ".join(words)), (None, " ".join(words)), (None, " ".join(near))]
+    rows += [(None, "a text of its own here"), (None, ""), (None, None), (None, "")]
+    rows += [(7, "first of two texts with one id"), (7, "second text that has the same id")]
+    rows += [(7, "second text that has the same id"), (8, " ".join(f"p{i}" for i in range(60)))]
+    rows += [(None, " ".join(f"p{i}" for i in range(59)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in minhash.drop_duplicates(docs).collect()]
+    assert sum(i is None and (t or "").startswith("u0") for i, t in left) == 1
+    want = [(None, "a text of its own here"), (None, ""), (None, None), (None, ""), rows[7], rows[8], rows[10]]
+    assert sorted((r for r in left if not (r[1] or "").startswith("u0")), key=str) == sorted(want, key=str)
+    got = [tuple(r) for r in minhash.near_duplicates(docs).collect()]
+    # The near copy without id is linked to the row that names the component.
+    assert len(got) == len(rows) and (None, 55, 8, False) in got and (8, 56, 8, True) in got
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert minhash.near_duplicates(docs).collect() == []
