@@ -13,7 +13,8 @@ their start, so its cost is linear in the parts of a document, however many they
 
 Defined results: NULL and empty texts have no spans; repeated rows are scanned each by
 itself; spans count code points, end exclusive; of weak parts that overlap a base part or
-an earlier weak part, the earlier one stays; ties in start go by the order of ``KINDS``.
+an earlier weak part, the earlier one stays; an address stays whole where base parts or
+secrets lie in it, and what lies in its query counts for its scope; ties in start go by the order of ``KINDS``.
 """
 
 from __future__ import annotations
@@ -40,14 +41,15 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-# Weak parts. A secret is a run of 20 to 128 characters that has mixed content.
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,128}(?![A-Za-z0-9+/_=-])")
+# Weak parts. A secret is a run of 20 characters or more that has mixed content. No
+# part has a longest length: a span reaches to the end of its value.
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 _IDENTIFIER = re.compile(
     r"""(?ai:\b(?:access[_-]?key[_-]?id|client[_-]?id|account[_-]?id|user(?:name)?|login))"""
-    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,64})"""
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})"""
 )
 _ENDPOINT = re.compile(
-    r"(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3|ftp)://[^\s\"'<>]{4,256}"
+    r"(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3|ftp)://[^\s\"'<>]{4,}"
     r"|(?ai:\b(?:endpoint|host(?:name)?|server))[\"']?\x20*[:=]\x20*[\"']?"
     r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?"
 )
@@ -117,7 +119,9 @@ def weak_parts(text: str, taken: list[Span], scan: Scan = Scan()) -> list[Span]:
     # Sweep with the base spans first at equal starts; keep what starts after all kept.
     kept, reach, at = [], -1, 0
     for span in sorted(found):
-        while at < len(taken) and taken[at].start < span.end:
+        # An address may hold base parts, such as a token in its query.
+        end = span.start + 1 if span.kind == "endpoint" else span.end
+        while at < len(taken) and taken[at].start < end:
             reach = max(reach, taken[at].end)
             at += 1
         if span.start >= reach:
@@ -126,6 +130,20 @@ def weak_parts(text: str, taken: list[Span], scan: Scan = Scan()) -> list[Span]:
     return kept
 
 
+def _carried(text: str, address: Span, scan: Scan) -> set[int]:
+    """Ranks of the weak parts in the query of an address, such as a signature."""
+    query = text.find("?", address.start, address.end)
+    if query < 0:
+        return set()
+    ranks = {4} if _IDENTIFIER.search(text, query, address.end) else set()
+    if any(
+        _looks_secret(m.group(), scan.min_entropy)
+        for m in _SECRET.finditer(text, query, address.end)
+    ):
+        ranks.add(3)
+    return ranks
+
+
 def linked(text: str, base: list[Span], weak: list[Span], scan: Scan) -> list[Span]:
     """Weak parts whose scope holds an identifier and a secret, base parts counted.
 
@@ -140,6 +158,9 @@ def linked(text: str, base: list[Span], weak: list[Span], scan: Scan) -> list[Sp
 
     def close() -> None:
         ranks = {s.rank for s in scope}
+        for s in scope:
+            if s.kind == "endpoint":
+                ranks |= _carried(text, s, scan)
         if ranks & {1, 4} and ranks & {0, 2, 3}:
             out.extend(s for s in scope if s.rank >= len(BASE))
 

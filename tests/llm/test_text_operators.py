@@ -222,6 +222,23 @@ def test_weak_parts_need_partners():
     assert [s.kind for s in credentials.spans_of(beside_base)[1]] == ["access", "secret"]
 
 
+def test_long_parts_are_matched_whole():
+    value = "q8Zk2Lw9Xy4Vb7Nm1Tr6" * 30
+    client = "123456789012-" + "xb3d" * 16 + ".apps.example.com"
+    url = "https://store.example.com/file?" + "part=of-it&" * 30 + "X-Sig=q8Zk2Lw9Xy4Vb7Nm1Tr6%2F9"
+    text = f"client_id: {client}\n{value}\n{url}"
+    spans = credentials.spans_of(text)[1]
+    assert [(s.kind, text[s.start : s.end]) for s in spans] == [
+        ("identifier", f"client_id: {client}"), ("secret", value), ("endpoint", url)
+    ]
+    signed = f"client_id: svc-account\n{url}"
+    assert [s.kind for s in credentials.spans_of(signed)[1]] == ["identifier", "endpoint"]
+    token = f"client_id: svc-account\n{url}&token=abcdefgh1234%2Fxyz"
+    spans = credentials.spans_of(token)[1]
+    assert [s.kind for s in spans] == ["identifier", "endpoint", "assign"]
+    assert spans[1].end == len(token)
+
+
 def test_scan_on_frames(spark):
     rows = [(1, "token=abcdefgh12", "a"), (1, "token=abcdefgh12", "a"), (2, None, "b"), (3, "", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
