@@ -121,7 +121,57 @@ LEFT JOIN distances c ON c.doc_id = b.doc_id AND c.kind = 'c'
 LEFT JOIN distances w ON w.doc_id = b.doc_id AND w.kind = 'w'
 """
 
+OP11 = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), word AS (
+  SELECT doc, lang, source, unnest(terms) AS term FROM split
+), kept AS (
+  SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), size AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), grp AS (
+  SELECT DISTINCT lang, source FROM split
+), used AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n
+  FROM word w JOIN kept k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL
+), counts AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n
+  FROM grp g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), shares AS (
+  SELECT c.lang, c.source, c.term, c.n,
+         1 + (1000000000::HUGEINT * (c.n + 2)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + 2 * s.v) AS p
+  FROM counts c JOIN size s ON s.lang = c.lang
+), whole AS (
+  SELECT x.lang, x.term, 1 + (1000000000::HUGEINT * (x.n + 2)) // (sum(x.n) OVER (PARTITION BY x.lang) + 2 * s.v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term) x JOIN size s ON s.lang = x.lang
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY a.lang, a.source, b.source
+), terms AS (
+  SELECT a.lang, a.source, a.term AS item, (a.p - w.q) * (a.p - w.q) // (a.p + w.q) AS value
+  FROM shares a JOIN whole w ON w.lang = a.lang AND w.term = a.term WHERE a.n > 0 AND a.p > w.q
+), both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM grp a JOIN grp b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM both_parts
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_odd_sketch": OP1,
     "op3_distribution_divergence": OP3,
+    "op11_source_stripes": OP11,
 }

@@ -15,6 +15,7 @@ from strata.llm import (
     divergence,
     html_text,
     minhash,
+    source_audit,
     substrings,
     token_files,
     toxicity,
@@ -111,6 +112,10 @@ def op10_entropy_balancing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_source_stripes(spark: SparkSession, d: str) -> DataFrame:
+    return source_audit.divergences(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -124,5 +129,6 @@ QUERIES: dict[str, Query] = {
         op8_difference_cover_dedup,
         op9_nb_ngram_toxicity,
         op10_entropy_balancing,
+        op11_source_stripes,
     )
 }
