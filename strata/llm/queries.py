@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     balancing,
+    byte_bpe,
     byte_cnn,
     credentials,
     decontamination,
@@ -40,11 +41,11 @@ def op3_distribution_divergence(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *divergence.RESULT)
 
 
-def vocabulary() -> str:
-    """Path of the vocabulary file, from the package that ships it."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a vocabulary file, from the package that ships it."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_wavelet_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -116,6 +117,18 @@ def op11_source_stripes(spark: SparkSession, d: str) -> DataFrame:
     return source_audit.divergences(table(spark, d, "documents"))
 
 
+def op13_distinct_word_bpe(spark: SparkSession, d: str) -> DataFrame:
+    how = byte_bpe.Settings(vocabulary("byte_bpe_50k.tiktoken"))
+    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, d, "documents"), how), how)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -130,5 +143,6 @@ QUERIES: dict[str, Query] = {
         op9_nb_ngram_toxicity,
         op10_entropy_balancing,
         op11_source_stripes,
+        op13_distinct_word_bpe,
     )
 }

@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from itertools import permutations
 
 import numpy as np
 import pytest
