@@ -3,9 +3,9 @@
 Merges of byte-level BPE never leave a pre-token, and most pre-tokens are one of few
 words. So texts are cut into pre-tokens block by block, and a block keeps for every
 position the number of its word, in the order in which the block first saw it. The
-distinct words of all blocks are exploded to rows with their block and number, dealt and
-sorted by word, so that each distinct word is encoded once as its rows stream by. Its ids
-go back to the blocks, which put them together by position.
+distinct words of all blocks are dealt by a hash, exploded to rows with their block and
+number, and sorted, so that each distinct word is encoded once as its rows stream by. Its
+ids go back to the blocks, which put them together by position.
 
 A block sends a word once, however often it occurs: the most frequent word costs one row a
 block, as any other that is in every block, and no task gathers more than a block and its
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.buffers import utf8
+from strata.llm.buffers import BLOCK, blocks, utf8
 from strata.llm.pretokens import words
 from strata.sources.tables import new_folder
 
@@ -77,100 +77,160 @@ def _token_bytes(path: str) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
+#: Of a block either a run of texts with the numbers of their words, or the words that go
+#: to one part. Whole numbers are packed.
 _BLOCK = pa.schema(
     [
         ("block", pa.int64()),
         ("row", pa.int64()),
-        ("doc_id", pa.int64()),
-        ("numbers", pa.list_(pa.int32())),
-        ("first", pa.int32()),
-        ("words", pa.list_(pa.binary())),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("counts", pa.list_(pa.int64())),
+        ("positions", pa.binary()),
+        ("part", pa.int32()),
+        ("steps", pa.binary()),
+        ("lengths", pa.binary()),
+        ("words", pa.binary()),
     ]
 )
 _BLOCK_DDL = (
-    "block long, row long, doc_id long, numbers array<int>, first int, words array<binary>"
+    "block long, row long, doc_ids array<long>, counts array<long>, positions binary, "
+    "part int, steps binary, lengths binary, words binary"
 )
+_ANSWERS = pa.schema(
+    [("block", pa.int64()), *[(n, pa.binary()) for n in ("steps", "lengths", "ids")]]
+)
+_ANSWERS_DDL = "block long, steps binary, lengths binary, ids binary"
 
 
-def _readable(texts: list[bytes]) -> bytes:
-    data = b"".join(texts)
-    try:
-        data.decode()
-    except UnicodeDecodeError:
-        texts[:] = [t.decode(errors="replace").encode() for t in texts]
-        data = b"".join(texts)
-    return data
-
-
-def numbered(block: int, ids: list[int | None], texts: list[bytes]) -> pa.RecordBatch:
-    """A row for each text: the number of the word at each position, and new words."""
-    data = _readable(texts)
-    offsets = np.cumsum([0] + [len(t) for t in texts])
-    begin, hashes = words(data, offsets)
-    numbers, distinct = pd.factorize(hashes)
-    seen = np.empty(len(distinct), dtype=np.int64)
-    seen[numbers[::-1]] = np.arange(len(numbers) - 1, -1, -1)
-    end = np.append(begin[1:], len(data))
-    fresh = [data[a:b] for a, b in zip(begin[seen].tolist(), end[seen].tolist())]
-    cuts = np.searchsorted(begin, offsets)
-    new = np.searchsorted(seen, cuts)
-    n = len(texts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(n, block, dtype=np.int64)),
-            pa.array(np.arange(n, dtype=np.int64)),
-            pa.array(ids, pa.int64()),
-            pa.ListArray.from_arrays(
-                pa.array(cuts.astype(np.int32)), pa.array(numbers.astype(np.int32))
-            ),
-            pa.array(new[:-1].astype(np.int32)),
-            pa.ListArray.from_arrays(
-                pa.array(new.astype(np.int32)), pa.array(fresh, pa.binary())
-            ),
-        ],
-        schema=_BLOCK,
-    )
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2^32 as planes of their low bytes, the next, and so on.
+
+    Only planes that are used are held; bytes that are alike lie together and compress.
+    """
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    used = max((i + 1 for i in range(4) if planes[i].any()), default=1)
+    return bytes([used]) + np.ascontiguousarray(planes[:used]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    wide = np.zeros((raw.shape[1], 4), dtype=np.uint8)
+    wide[:, : data[0]] = raw.T
+    return wide.view("<u4").ravel()
+
+
+class Block:
+    """Texts of one block, and the words it has seen, numbered in that order."""
+
+    def __init__(self, block: int) -> None:
+        self.block, self.rows, self.held = block, 0, 0
+        self.known: dict[int, int] = {}
+        self.words: list[bytes] = []
+
+    def add(self, ids: pa.Array, data: bytes, offsets: np.ndarray) -> pa.RecordBatch:
+        try:
+            data.decode()
+        except UnicodeDecodeError:
+            cuts = offsets.tolist()
+            texts = [
+                data[a:b].decode(errors="replace").encode() for a, b in zip(cuts, cuts[1:])
+            ]
+            data, offsets = b"".join(texts), np.cumsum([0] + [len(t) for t in texts])
+        begin, hashes = words(data, offsets)
+        code, distinct = pd.factorize(hashes)
+        first = np.empty(len(distinct), dtype=np.int64)
+        first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+        before, known = len(self.known), self.known
+        number = np.array(
+            [known.setdefault(h, len(known)) for h in distinct.tolist()], dtype=np.int64
+        )
+        fresh = first[number >= before]
+        end = np.append(begin[1:], len(data))
+        self.words += [data[a:b] for a, b in zip(begin[fresh].tolist(), end[fresh].tolist())]
+        self.held += len(data)
+        self.rows += 1
+        row = {
+            "block": self.block,
+            "row": self.rows,
+            "doc_ids": ids.to_pylist(),
+            "counts": np.diff(np.searchsorted(begin, offsets)),
+            "positions": packed(number[code]),
+        }
+        return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
+
+    def sent(self, parts: int) -> pa.RecordBatch:
+        """The words by the part they go to, which is the same in every block."""
+        part = np.fromiter(self.known, np.uint64, len(self.known)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        full, first = np.unique(part[order], return_index=True)
+        rows = [
+            {
+                "block": self.block,
+                "part": int(p),
+                "steps": packed(np.diff(mine, prepend=0)),
+                "lengths": packed(np.array([len(self.words[i]) for i in mine])),
+                "words": b"".join([self.words[i] for i in mine]),
+            }
+            for p, mine in zip(full, np.split(order, first[1:]) if len(full) else [])
+        ]
+        return pa.RecordBatch.from_pylist(rows, schema=_BLOCK)
 
 
 def _in_blocks(docs: DataFrame, how: Settings) -> DataFrame:
-    """Write the positions once, bucketed by block."""
+    """Write positions and words once, bucketed by block."""
+    spark = docs.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * shuffles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = TaskContext.get().partitionId() << 32, 0
-        ids: list[int | None] = []
-        texts: list[bytes] = []
+        held = Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            bounds = offsets.tolist()
-            for id, a, b in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
-                if held and held + b - a > how.block_bytes:
-                    yield numbered(block, ids, texts)
-                    block, held, ids, texts = block + 1, 0, [], []
-                ids.append(id)
-                texts.append(data[a:b].tobytes())
-                held += b - a
-        if ids:
-            yield numbered(block, ids, texts)
+            for first, last in blocks(offsets, min(BLOCK, how.block_bytes)):
+                size = int(offsets[last] - offsets[first])
+                if held.rows and held.held + size > how.block_bytes:
+                    yield held.sent(parts)
+                    held = Block(held.block + 1)
+                bounds = offsets[first : last + 1] - offsets[first]
+                piece = data[offsets[first] : offsets[last]].tobytes()
+                yield held.add(batch.column(0).slice(first, last - first), piece, bounds)
+        yield held.sent(parts)
 
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"words_{uuid.uuid4().hex}"
     (
         docs.mapInArrow(run, _BLOCK_DDL)
         .write.option("compression", "zstd")
         .option("path", new_folder(spark, "words"))
-        .bucketBy(min(buckets, 10_000), "block")
+        .bucketBy(min(shuffles, 10_000), "block")
         .saveAsTable(name)
     )
     return spark.table(name)
 
 
-def _word_ids(blocks: DataFrame, how: Settings) -> DataFrame:
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words as rows, with their block and number."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ends = np.cumsum(unpacked(row["lengths"]), dtype=np.int32)
+            bounds = np.append(np.zeros(1, np.int32), ends)
+            number = np.cumsum(unpacked(row["steps"]), dtype=np.int32)
+            words_ = pa.BinaryArray.from_buffers(
+                pa.binary(), len(number), [None, pa.py_buffer(bounds), pa.py_buffer(row["words"])]
+            )
+            block = np.full(len(number), row["block"], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block), pa.array(number), words_], names=["block", "number", "word"]
+            )
+
+
+def _word_ids(staged: DataFrame, how: Settings) -> DataFrame:
     """Ids of every word of every block; equal words meet, and are encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, last = _encoder(how.ranks), (None, [])
         for batch in batches:
+            if not len(batch):
+                continue
             coded = batch.column(2).dictionary_encode()
             distinct = coded.dictionary.to_pylist()
             # The rows are sorted, so only the first word can go on from the last batch.
@@ -178,34 +238,56 @@ def _word_ids(blocks: DataFrame, how: Settings) -> DataFrame:
                 last[1] if word == last[0] else encoder.encode_ordinary(word.decode())
                 for word in distinct
             ]
-            if distinct:
-                last = (distinct[-1], ids[-1])
-            found = pa.array(ids, pa.list_(pa.int32())).take(coded.indices)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), found], names=["block", "number", "ids"]
-            )
+            last = (distinct[-1], ids[-1])
+            block, number = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.lexsort((number, block))
+            to, first = np.unique(block[order], return_index=True)
+            at = np.append(first, len(order))
+            found = pa.array(ids, pa.list_(pa.int32())).take(coded.indices.take(pa.array(order)))
+            ends, flat = found.offsets.to_numpy(), found.values.to_numpy()
+            rows = [
+                {
+                    "block": int(b),
+                    "steps": packed(np.diff(number[order[x:y]], prepend=0)),
+                    "lengths": packed(np.diff(ends[x : y + 1])),
+                    "ids": packed(flat[ends[x] : ends[y]]),
+                }
+                for b, x, y in zip(to, at[:-1].tolist(), at[1:].tolist())
+            ]
+            yield pa.RecordBatch.from_pylist(rows, schema=_ANSWERS)
 
-    exploded = blocks.select(
-        "block", "first", F.posexplode("words").alias("at", "word")
-    ).select("block", (F.col("first") + F.col("at")).alias("number"), "word")
-    dealt = exploded.repartition("word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "block long, number int, ids array<int>")
+    dealt = staged.select("block", "part", "steps", "lengths", "words").repartition("part")
+    single = dealt.select("block", "steps", "lengths", "words").mapInArrow(
+        _single, "block long, number int, word binary"
+    )
+    return single.sortWithinPartitions("word").mapInArrow(run, _ANSWERS_DDL)
 
 
 def _assembled(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
     """The ids of the texts of a block, by position."""
-    rows = rows.sort_by("row").combine_chunks()
-    numbers = pa.chunked_array(rows.column("numbers").chunks or [[]]).combine_chunks()
-    order = np.argsort(answers.column("number").to_numpy())
-    ids = answers.column("ids").combine_chunks().take(pa.array(order))
-    at = numbers.offsets.to_numpy()
-    taken = ids.take(numbers.values[at[0] : at[-1]]) if len(at) and at[-1] > at[0] else None
-    if taken is None:
-        found = pa.array([[]] * len(rows), pa.list_(pa.int32()))
-    else:
-        ends = taken.offsets.to_numpy()
-        found = pa.ListArray.from_arrays(pa.array(ends[at - at[0]]), taken.values)
-    return pa.table({"doc_id": rows.column("doc_id"), "ids": found})
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    number, length, held = [], [], []
+    for batch in answers.to_batches():
+        for _, steps, lengths, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            number.append(np.cumsum(unpacked(steps)))
+            length.append(unpacked(lengths))
+            held.append(unpacked(ids).astype(np.int32))
+    none = [np.zeros(0, np.int32)]
+    ends = np.cumsum(np.concatenate([np.zeros(1, np.int32), *length]), dtype=np.int32)
+    by_word = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held or none)))
+    by_word = by_word.take(pa.array(np.argsort(np.concatenate(number or none))))
+    del held, number
+    out = []
+    for row in rows.sort_by("row").to_pylist():
+        taken = by_word.take(pa.array(unpacked(row["positions"])))
+        cuts = taken.offsets.to_numpy()[np.cumsum([0, *row["counts"]])]
+        found = pa.ListArray.from_arrays(pa.array(cuts), taken.values)
+        out.append(
+            pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_ids"], pa.int64()), found], schema=schema
+            )
+        )
+    return pa.Table.from_batches(out, schema=schema)
 
 
 def encode(
@@ -213,10 +295,13 @@ def encode(
 ) -> DataFrame:
     """One row per input row: doc_id and ids, as ``array<int>``."""
     chosen = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    blocks = _in_blocks(chosen, how)
-    both = blocks.select("block", "row", "doc_id", "numbers").groupBy("block")
-    answers = _word_ids(blocks, how).groupBy("block")
-    return both.cogroup(answers).applyInArrow(_assembled, "doc_id long, ids array<int>")
+    staged = _in_blocks(chosen, how)
+    texts = staged.filter(F.col("part").isNull()).select(
+        "block", "row", "doc_ids", "counts", "positions"
+    )
+    answers = _word_ids(staged.filter(F.col("part").isNotNull()), how)
+    both = texts.groupBy("block").cogroup(answers.groupBy("block"))
+    return both.applyInArrow(_assembled, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, how: Settings, ids: str = "ids") -> DataFrame:
@@ -224,19 +309,22 @@ def decode(encoded: DataFrame, how: Settings, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _token_bytes(how.ranks)
-        for batch in batches:
-            held = batch.column(ids)
-            flat = pc.fill_null(held.flatten(), len(table) - 1)
-            known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table)))
-            tokens = table.take(pc.if_else(known, flat, len(table) - 1))
-            ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(held), 0).to_pylist()])
-            bounds = np.frombuffer(tokens.buffers()[1], np.int64)[ends]
-            joined = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(batch), [None, pa.py_buffer(bounds), tokens.buffers()[2]]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, joined.cast(pa.binary())], names=[*batch.schema.names, "bytes"]
-            )
+        for whole in batches:
+            counts = pc.fill_null(pc.list_value_length(whole.column(ids)), 0).to_numpy()
+            for first, last in blocks(np.append(0, np.cumsum(counts)), BLOCK // 2):
+                batch = whole.slice(first, last - first)
+                flat = pc.fill_null(batch.column(ids).flatten(), len(table) - 1)
+                known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table)))
+                tokens = table.take(pc.if_else(known, flat, len(table) - 1))
+                ends = np.frombuffer(tokens.buffers()[1], np.int64)
+                bounds = ends[np.append(0, np.cumsum(counts[first:last]))]
+                joined = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(batch), [None, pa.py_buffer(bounds), tokens.buffers()[2]]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, joined.cast(pa.binary())],
+                    names=[*batch.schema.names, "bytes"],
+                )
 
     schema = encoded.drop("bytes").schema.add("bytes", "binary")
     return encoded.drop("bytes").mapInArrow(run, schema)

@@ -23,13 +23,13 @@ _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 @cache
 def _classes() -> np.ndarray:
     """The class of every code point."""
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    text = "".join(map(chr, points))
     table = np.full(0x110000, _OTHER, dtype=np.uint8)
-    place = np.array(points)
-    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
-        for found in regex.finditer(pattern, text):
-            table[place[found.start() : found.end()]] = kind
+    # Surrogates are no characters of a text.
+    for first, last in ((0, 0xD800), (0xE000, 0x110000)):
+        text = np.arange(first, last, dtype="<u4").tobytes().decode("utf-32-le")
+        for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+            for found in regex.finditer(pattern, text):
+                table[first + found.start() : first + found.end()] = kind
     return table
 
 

@@ -4,6 +4,7 @@ import random
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -116,14 +117,26 @@ def test_empty_table_and_odd_ids(spark):
 
 def test_each_word_is_sent_once_a_block(spark):
     docs = spark.createDataFrame([(i, "again and again " * 50) for i in range(30)], "doc_id long, text string")
-    blocks = byte_bpe._in_blocks(docs.coalesce(1), Settings(RANKS, 8000))
-    sent = byte_bpe._word_ids(blocks, Settings(RANKS, 8000)).collect()
-    n_blocks = blocks.select("block").distinct().count()
+    staged = byte_bpe._in_blocks(docs.coalesce(1), Settings(RANKS, 8000))
+    n_blocks = staged.select("block").distinct().count()
+    sent = staged.filter("part is not null").collect()
     # "again", " and", " again" and the space at the end of a text.
-    assert n_blocks == 3 and len(sent) == 4 * n_blocks
+    assert n_blocks == 3
+    assert sum(len(byte_bpe.unpacked(r["lengths"])) for r in sent) == 4 * n_blocks
+    assert sum(len(r["words"]) for r in sent) == len("again and again ") * n_blocks
 
 
 def test_bytes_that_are_not_text():
-    batch = byte_bpe.numbered(0, [1, 2], [b"ok \xff\xfe", "gut é".encode()])
-    assert b"".join(batch.column(5).to_pylist()[0]).decode() == "ok ��"
-    assert batch.column(5).to_pylist()[1] == [b"gut", " é".encode()]
+    block = byte_bpe.Block(0)
+    data = b"ok \xff\xfe" + "gut é".encode()
+    row = block.add(pa.array([1, 2]), data, np.array([0, 5, len(data)])).to_pylist()[0]
+    assert block.words == [b"ok", " \ufffd\ufffd".encode(), b"gut", " é".encode()]
+    assert row["counts"] == [2, 2]
+    assert byte_bpe.unpacked(row["positions"]).tolist() == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 1 << 24, (1 << 32) - 1])
+def test_packed_numbers(most):
+    numbers = np.array([0, most // 3, most], dtype=np.int64)
+    assert byte_bpe.unpacked(byte_bpe.packed(numbers)).tolist() == numbers.tolist()
+    assert len(byte_bpe.unpacked(byte_bpe.packed(numbers[:0]))) == 0
