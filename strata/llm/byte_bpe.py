@@ -278,7 +278,9 @@ def _assembled(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
     by_word = by_word.take(pa.array(np.argsort(np.concatenate(number or none))))
     del held, number
     out = []
-    for row in rows.sort_by("row").to_pylist():
+    # One run of texts at a time is taken out of the block.
+    for i in np.argsort(rows.column("row").to_numpy()).tolist():
+        row = rows.slice(i, 1).to_pylist()[0]
         taken = by_word.take(pa.array(unpacked(row["positions"])))
         cuts = taken.offsets.to_numpy()[np.cumsum([0, *row["counts"]])]
         found = pa.ListArray.from_arrays(pa.array(cuts), taken.values)

@@ -14,6 +14,7 @@ from strata.llm import (
     credentials,
     decontamination,
     divergence,
+    hard_negatives,
     html_text,
     minhash,
     source_audit,
@@ -117,6 +118,13 @@ def op11_source_stripes(spark: SparkSession, d: str) -> DataFrame:
     return source_audit.divergences(table(spark, d, "documents"))
 
 
+def op12_inverted_multi_index(spark: SparkSession, d: str) -> DataFrame:
+    id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(id % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, d, "embeddings")
+    return hard_negatives.mine(vectors, id % 50 == 0, label=moved)
+
+
 def op13_distinct_word_bpe(spark: SparkSession, d: str) -> DataFrame:
     how = byte_bpe.Settings(vocabulary("byte_bpe_50k.tiktoken"))
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, d, "documents"), how), how)
@@ -143,6 +151,7 @@ QUERIES: dict[str, Query] = {
         op9_nb_ngram_toxicity,
         op10_entropy_balancing,
         op11_source_stripes,
+        op12_inverted_multi_index,
         op13_distinct_word_bpe,
     )
 }
