@@ -1,8 +1,9 @@
 """Dense ranks and top rows.
 
-A ranking window gathers each group in one task. Here a group is split first, by steps of
-its leading order column, and ranked within a step; what comes before a step is a count of
-distinct values. One lazy plan does this for groups of any size.
+A ranking window gathers each group in one task. Here the distinct order values of all
+groups are dealt by ranges of (group, value), so a group of any size and of any values is
+spread over as many tasks as it fills; a value's rank is its place in its range, moved by
+the number of values that its group has in the ranges before.
 """
 
 from __future__ import annotations
@@ -13,34 +14,31 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_STEP, _SIZE, _BEFORE = "__step", "__step_size", "__ranks_before"
+from strata.sources.tables import stage
+
+_PLACE, _RANGE, _MOVE = "__place", "__range", "__move"
+#: Ids that grow by one within a task hold the task's number above these bits.
+_TASK_BITS = 33
 
 
 def _sort(order: Sequence[tuple[str, str]]) -> list[Column]:
     return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
 
 
-def order_step(df: DataFrame, column: str) -> Column:
-    """A coarser value in the same order, a function of the value alone.
+def placed_values(
+    df: DataFrame, groups: Sequence[str], order: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Distinct order values by group, in order, with their range and place in it.
 
-    Numbers and times go by their sign and 256 steps for each doubling, texts by their
-    first two characters; NULL stays NULL. Other types are one step.
+    Written once, since another plan of the same values could draw other ranges.
     """
-    kind, value = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, T.StringType):
-        return F.substring(value, 1, 2)
-    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
-        value = value.cast("timestamp").cast("double")
-    elif isinstance(kind, (T.NumericType, T.TimestampType)):
-        value = value.cast("double")
-    else:
-        return F.when(value.isNotNull(), F.lit(0))
-    step = F.floor(F.log2(F.abs(value) + 1) * 256)
-    # NaN sorts above all numbers; it shares the last step with infinity.
-    last = F.lit(2**63 - 1)
-    return F.when(F.isnan(value), last).otherwise((F.signum(value) * step).cast("long"))
+    values = df.select(*groups, *[c for c, _ in order]).distinct()
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[F.col(g).asc() for g in groups], *_sort(order)]
+    dealt = values.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    written = stage(dealt.withColumn(_PLACE, F.monotonically_increasing_id()), "ranks")
+    return written.withColumn(_RANGE, F.shiftright(_PLACE, _TASK_BITS))
 
 
 def dense_rank(
@@ -52,28 +50,21 @@ def dense_rank(
     """Rank rows within their group; equal order values share a rank.
 
     ``order`` lists ``(column, "asc" | "desc")``; NULL sorts first ascending and last
-    descending. The distinct values are counted by group and step, reduced in each task
-    first, and summed over the steps of a group, of which there are few. The rows of a
-    step are ranked in one task; only rows that tie in the leading step stay together.
+    descending. Runs one job, which writes the distinct values; a window then holds one
+    row for each range that a group has, of which there are at most the shuffle
+    partitions. Rows find their rank by an equality join.
     """
-    lead, way = order[0]
-    stepped = df.withColumn(_STEP, order_step(df, lead))
-    counts = (
-        stepped.select(*groups, _STEP, *[c for c, _ in order])
-        .distinct()
-        .groupBy(*groups, _STEP)
-        .agg(F.count(F.lit(1)).alias(_SIZE))
-    )
-    earlier = Window.partitionBy(*groups).orderBy(*_sort([(_STEP, way)]))
-    before = counts.select(
-        *groups, _STEP, (F.sum(_SIZE).over(earlier) - F.col(_SIZE)).alias(_BEFORE)
+    values = placed_values(df, groups, order)
+    sizes = values.groupBy(*groups, _RANGE).agg(
+        F.count(F.lit(1)).alias("size"), F.min(_PLACE).alias("first")
     )
-    local = Window.partitionBy(*groups, _STEP).orderBy(*_sort(order))
-    return (
-        _join_null_safe(stepped, before, [*groups, _STEP], "inner")
-        .withColumn(name, (F.col(_BEFORE) + F.dense_rank().over(local)).cast("int"))
-        .drop(_STEP, _BEFORE)
+    until = Window.partitionBy(*groups).orderBy(_RANGE)
+    before = F.sum("size").over(until) - F.col("size")
+    moves = sizes.select(*groups, _RANGE, (before - F.col("first") + 1).alias(_MOVE))
+    ranks = _join_null_safe(values, moves, [*groups, _RANGE], "inner").select(
+        *groups, *[c for c, _ in order], (F.col(_PLACE) + F.col(_MOVE)).cast("int").alias(name)
     )
+    return _join_null_safe(df, ranks, [*groups, *[c for c, _ in order]], "inner")
 
 
 def dense_rank_by_window(

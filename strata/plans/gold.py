@@ -215,27 +215,35 @@ def _with_title(df: DataFrame, tables: Tables, **more: str) -> DataFrame:
     )
 
 
-def bridge_occupation_education(tables: Tables) -> DataFrame:
-    """Education categories of a detailed occupation, ranked by response value."""
+def bridge_occupation_education(tables: Tables, ranked: bool = True) -> DataFrame:
+    """Education categories of a detailed occupation, ranked by response value.
+
+    Ranking runs a job; who needs no ranks can leave them and their flag out.
+    """
     answered = tables["onet_education"].filter(F.col("data_value").isNotNull())
-    # Ranked before the joins, so the window carries no looked-up text.
-    ranked = dense_rank(
-        answered.select(
-            "onet_soc_code",
-            "soc_code",
-            "element_id",
-            "element_name",
-            "scale_id",
-            "category",
-            F.col("data_value").alias("education_response_value"),
-            *LINEAGE_COLUMNS,
-        ),
-        groups=["onet_soc_code", "element_id", "scale_id"],
-        order=[("education_response_value", "desc"), ("category", "asc")],
-        name="education_rank",
+    rows = answered.select(
+        "onet_soc_code",
+        "soc_code",
+        "element_id",
+        "element_name",
+        "scale_id",
+        "category",
+        F.col("data_value").alias("education_response_value"),
+        *LINEAGE_COLUMNS,
     )
+    ranks = []
+    if ranked:
+        # Ranked before the joins, so the rows carry no looked-up text.
+        rows = dense_rank(
+            rows,
+            groups=["onet_soc_code", "element_id", "scale_id"],
+            order=[("education_response_value", "desc"), ("category", "asc")],
+            name="education_rank",
+        )
+        rank = F.col("education_rank")
+        ranks = [rank, (rank == 1).alias("is_primary_education_category")]
     described = left_lookup(
-        ranked,
+        rows,
         tables["onet_education_categories"],
         {"element_id": "element_id", "scale_id": "scale_id", "category": "category"},
         {"education_category": "category_description"},
@@ -250,14 +258,16 @@ def bridge_occupation_education(tables: Tables) -> DataFrame:
         "category",
         "education_category",
         "education_response_value",
-        "education_rank",
-        (F.col("education_rank") == 1).alias("is_primary_education_category"),
+        *ranks,
         *LINEAGE_COLUMNS,
     )
 
 
-def bridge_occupation_skill(tables: Tables) -> DataFrame:
-    """Essential and transferable skills of a detailed occupation, ranked by score."""
+def bridge_occupation_skill(tables: Tables, ranked: bool = True) -> DataFrame:
+    """Essential and transferable skills of a detailed occupation, ranked by score.
+
+    Ranking runs a job; who needs no ranks can leave them out.
+    """
     columns = [
         "onet_soc_code",
         "soc_code",
@@ -279,13 +289,14 @@ def bridge_occupation_skill(tables: Tables) -> DataFrame:
         },
         "skill_family",
     )
-    ranked = dense_rank(
-        skills,
-        groups=["onet_soc_code", "skill_family", "scale_id"],
-        order=[("skill_score", "desc"), ("skill_name", "asc")],
-        name="skill_rank",
-    )
-    return _with_title(ranked, tables).select(
+    if ranked:
+        skills = dense_rank(
+            skills,
+            groups=["onet_soc_code", "skill_family", "scale_id"],
+            order=[("skill_score", "desc"), ("skill_name", "asc")],
+            name="skill_rank",
+        )
+    return _with_title(skills, tables).select(
         "onet_soc_code",
         "soc_code",
         "occupation_title",
@@ -295,7 +306,7 @@ def bridge_occupation_skill(tables: Tables) -> DataFrame:
         "scale_id",
         scale_label(F.col("scale_id")).alias("scale_name"),
         "skill_score",
-        "skill_rank",
+        *(["skill_rank"] if ranked else []),
         *LINEAGE_COLUMNS,
     )
 
@@ -348,12 +359,6 @@ def build_views(tables: Tables) -> dict[str, DataFrame]:
     return {name: build(tables) for name, build in VIEWS.items()}
 
 
-def publish_views(views: Mapping[str, DataFrame]) -> None:
-    """Make each view queryable by name in its session."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-
-
 def clean_tables(
     spark: SparkSession, names: list[str], schema: str | None = None
 ) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 from itertools import groupby
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from strata.operators.quality import Dataset
 from strata.operators.ranking import (
     dense_rank,
     dense_rank_by_window,
+    placed_values,
     top,
 )
 
@@ -122,28 +124,53 @@ def ranked_input(spark):
 ORDER = [("v", "desc"), ("n", "asc")]
 
 
-def test_ranks_in_steps_equal_ranks_by_window(spark, rows):
+def test_ranks_by_ranges_equal_ranks_by_window(spark, rows):
     df = ranked_input(spark)
     for order in (ORDER, [("n", "asc"), ("v", "desc")], [("v", "asc")], [("i", "desc")]):
-        expected = rows(dense_rank_by_window(df, ["g"], order))
-        assert rows(dense_rank(df, ["g"], order)) == expected
+        for groups in (["g"], []):
+            expected = rows(dense_rank_by_window(df, groups, order))
+            assert rows(dense_rank(df, groups, order)) == expected
 
 
-def test_steps_keep_the_order_of_odd_numbers(spark, rows):
+def test_ranks_of_odd_numbers(spark, rows):
     values = [0.0, -0.0, -1e300, 1e300, float("inf"), float("-inf"), float("nan"), None]
     values += [x / 7 for x in range(-40, 40)] + [1e-9, -1e-9]
     df = spark.createDataFrame([("g", v, i) for i, v in enumerate(values)], "g string, v double, i int")
     for way in ("asc", "desc"):
         expected = rows(dense_rank_by_window(df, ["g"], [("v", way)]), "i", "rank")
         assert rows(dense_rank(df, ["g"], [("v", way)]), "i", "rank") == expected
+    assert dense_rank(df.limit(0), ["g"], [("v", "asc")]).collect() == []
 
 
-def test_no_window_holds_the_rows_of_a_group(spark):
+@pytest.mark.parametrize(
+    "value",
+    [
+        "concat('https://one.example/path/', lpad(cast(id as string), 9, '0'))",
+        "timestamp_seconds(1704067200 + id)",
+        "id + 9000000000000000000",
+        "named_struct('same', 1, 'id', id)",
+    ],
+)
+def test_a_hot_group_is_spread_whatever_its_values_are(spark, rows, value):
+    df = spark.range(20_000).selectExpr(
+        "if(id % 20 = 0, 'cold', 'hot') AS g", f"{value} AS v", "id"
+    )
+    placed = placed_values(df, ["g"], [("v", "desc")])
+    sizes = sorted(r["count"] for r in placed.groupBy("__range").count().collect())
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[1]
+    spread = placed.filter("g = 'hot'").select("__range").distinct().count()
+    assert spread >= 3
+    ranked = dense_rank(df, ["g"], [("v", "desc")])
+    assert rows(ranked, "id", "rank") == rows(
+        dense_rank_by_window(df, ["g"], [("v", "desc")]), "id", "rank"
+    )
+
+
+def test_windows_hold_a_row_for_each_range(spark):
     ranked = dense_rank(ranked_input(spark), ["g"], ORDER)
     plan = ranked._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    # One over the counts of the steps, one over the rows of a step.
-    assert len(windows) == 2 and all("__step" in w for w in windows)
+    assert len(windows) == 1 and "__range" in windows[0]
 
 
 def test_columns_named_like_helpers_are_data(spark, rows):

@@ -144,9 +144,7 @@ def test_flags_and_months(tables):
 
 @pytest.fixture(scope="module")
 def views(tables):
-    built = gold.build_views(tables)
-    gold.publish_views(built)
-    return built
+    return gold.build_views(tables)
 
 
 @pytest.mark.parametrize("name", list(gold.VIEWS))

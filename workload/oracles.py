@@ -622,12 +622,31 @@ ORACLES: dict[str, str] = {
           WHERE e.data_value IS NOT NULL)
         SELECT *, education_rank = 1 AS is_primary_education_category FROM b""",
     "bridge_family_rank": SKILLS,
-    "bridge_family_rank_large_groups": SKILLS,
+    "bridge_family_rank_large_groups": f"""{with_tables(
+        'onet_essential_skills', 'onet_transferable_skills')},
+        u AS (SELECT 'essential' AS skill_family, * FROM onet_essential_skills
+              UNION ALL SELECT 'transferable', * FROM onet_transferable_skills)
+        SELECT onet_soc_code, skill_family, element_id AS skill_id, scale_id,
+          data_value AS skill_score,
+          CAST(dense_rank() OVER (PARTITION BY skill_family, scale_id
+            ORDER BY data_value DESC, onet_soc_code, element_id DESC) AS INTEGER)
+            AS skill_rank
+        FROM u WHERE data_value IS NOT NULL""",
     "rank_hot_group": """
         SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey,
           CAST(dense_rank() OVER (PARTITION BY l_returnflag
             ORDER BY l_partkey DESC, l_linenumber) AS INTEGER) AS rank
         FROM lineitem""",
+    "rank_common_prefix": """
+        SELECT l_returnflag, l_orderkey, l_linenumber,
+          'https://parts.example/' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS address,
+          CAST(dense_rank() OVER (PARTITION BY l_returnflag
+            ORDER BY l_partkey, l_linenumber DESC) AS INTEGER) AS rank
+        FROM lineitem""",
+    "rank_one_day": """
+        SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (
+            ORDER BY (l_orderkey * 7 + l_linenumber) % 86400 DESC) AS INTEGER) AS rank
+        FROM lineitem""",
     "bridge_distinct": f"""{with_tables('onet_software_skills', 'onet_occupations')}
         SELECT DISTINCT s.onet_soc_code, s.soc_code, o.occupation_title,
           s.software_name, s.element_id, s.element_name, s.hot_technology, s.in_demand

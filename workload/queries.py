@@ -660,15 +660,16 @@ def projection_fact(spark, d):
     return _no_lineage(_projection_fact(spark, d))
 
 
-def _education(spark: SparkSession, d: str) -> DataFrame:
+def _education(spark: SparkSession, d: str, ranked: bool = True) -> DataFrame:
     return gold.bridge_occupation_education(
         _clean_tables(
             spark, d, "onet_education", "onet_education_categories", "onet_occupations"
-        )
+        ),
+        ranked,
     )
 
 
-def _skills(spark: SparkSession, d: str) -> DataFrame:
+def _skills(spark: SparkSession, d: str, ranked: bool = True) -> DataFrame:
     return gold.bridge_occupation_skill(
         _clean_tables(
             spark,
@@ -676,7 +677,8 @@ def _skills(spark: SparkSession, d: str) -> DataFrame:
             "onet_essential_skills",
             "onet_transferable_skills",
             "onet_occupations",
-        )
+        ),
+        ranked,
     )
 
 
@@ -704,13 +706,21 @@ def bridge_family_rank(spark, d):
 
 @query
 def bridge_family_rank_large_groups(spark, d):
-    """The same ranks; kept under the name of the former path for large groups."""
-    return _no_lineage(_skills(spark, d))
+    """Skills ranked over all occupations: six groups of very different size."""
+    skills = _skills(spark, d, ranked=False).select(
+        "onet_soc_code", "skill_family", "skill_id", "scale_id", "skill_score"
+    )
+    return dense_rank(
+        skills,
+        ["skill_family", "scale_id"],
+        [("skill_score", "desc"), ("onet_soc_code", "asc"), ("skill_id", "desc")],
+        "skill_rank",
+    )
 
 
 @query
 def rank_hot_group(spark, d):
-    """Three groups hold all rows: ranked in steps, not in three tasks."""
+    """Three groups hold all rows: ranked by ranges of values, not in three tasks."""
     lines = table(spark, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"
     )
@@ -719,6 +729,32 @@ def rank_hot_group(spark, d):
     )
 
 
+@query
+def rank_common_prefix(spark, d):
+    """Texts that all begin alike, in three groups."""
+    address = F.concat(
+        F.lit("https://parts.example/"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")
+    )
+    lines = table(spark, d, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", address.alias("address")
+    )
+    return dense_rank(
+        lines, ["l_returnflag"], [("address", "asc"), ("l_linenumber", "desc")]
+    )
+
+
+@query
+def rank_one_day(spark, d):
+    """Times of one day, all in one group."""
+    second = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 86400
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.timestamp_seconds(F.lit(1704067200) + second).alias("at"),
+    )
+    return dense_rank(lines, [], [("at", "desc")]).drop("at")
+
+
 @query
 def bridge_distinct(spark, d):
     return _no_lineage(_software(spark, d))
@@ -813,10 +849,9 @@ def check_coverage(spark, d):
 def bridge_coverage(spark, d):
     """Coverage of the coded titles by all four bridges."""
     dimension = occupation_dimension(spark, d).select("soc_code", "occupation_title")
-    # The ranks are not used, so Spark drops them; no group needs to be measured.
     bridges = {
-        "onet_occupations_with_education": _education(spark, d),
-        "onet_occupations_with_skills": _skills(spark, d),
+        "onet_occupations_with_education": _education(spark, d, ranked=False),
+        "onet_occupations_with_skills": _skills(spark, d, ranked=False),
         "onet_occupations_with_software": _software(spark, d),
         "onet_occupations_with_job_zone": _zones(spark, d),
     }
