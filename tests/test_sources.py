@@ -207,3 +207,70 @@ def test_stage_is_under_the_configured_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert staged.count() == 5
     assert all(folder in f for f in staged.inputFiles())
+
+
+def _state(spark, name):
+    described = tables._described(spark, name)
+    listed = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return described.get("Comment"), listed.get("team"), described["Location"]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_an_overwrite_leaves_a_table_to_read_at_any_time(spark, partition_by):
+    name = "kept_" + "_".join(["by", *partition_by])
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, p string")
+    tables.write_table(df, name, partition_by=partition_by)
+    spark.sql(f"COMMENT ON TABLE {name} IS 'it''s kept'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('team' = 'us')")
+    before = _state(spark, name)
+    version = tables.write_version(df.limit(1), name, partition_by)
+    assert version.rows == 1 and spark.table(name).count() == 2
+    version.publish()
+    after = _state(spark, name)
+    assert spark.table(name).count() == 1
+    assert after[:2] == before[:2] == ("it's kept", "us") and after[2] != before[2]
+    version.withdraw()
+    assert spark.table(name).count() == 2 and _state(spark, name) == before
+
+
+def test_columns_added_at_the_end_and_other_columns(spark):
+    df = spark.range(3).select(F.col("id").alias("a"))
+    tables.write_table(df, "grown")
+    spark.sql("COMMENT ON TABLE grown IS 'c'")
+    spark.sql("ALTER TABLE grown SET TBLPROPERTIES ('team' = 'us')")
+    wider = tables.write_version(df.withColumn("b", F.lit("x")), "grown")
+    wider.publish()
+    assert spark.table("grown").columns == ["a", "b"] and _state(spark, "grown")[:2] == ("c", "us")
+    other = tables.write_version(df.select(F.lit(1.5).alias("z")), "grown")
+    other.publish()
+    assert spark.table("grown").columns == ["z"] and _state(spark, "grown")[:2] == ("c", "us")
+    other.withdraw()
+    assert spark.table("grown").columns == ["a", "b"] and spark.table("grown").count() == 3
+    assert _state(spark, "grown")[:2] == ("c", "us")
+
+
+def test_all_versions_are_published_or_none(spark):
+    df = spark.range(2).toDF("a")
+    for name in ("first_of_two", "second_of_two"):
+        tables.write_table(df, name)
+    versions = [
+        tables.write_version(df.limit(0), n) for n in ("first_of_two", "second_of_two", "third")
+    ]
+    versions[1].publish = lambda: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        tables.publish_together(versions)
+    assert spark.table("first_of_two").count() == spark.table("second_of_two").count() == 2
+    assert not spark.catalog.tableExists("third")
+
+
+def test_a_repeated_run_replaces_its_rows_only(spark):
+    def rows(*runs):
+        return spark.createDataFrame([(r, 1) for r in runs], "run_id string, n int")
+
+    assert tables.replace_run(rows("a", "a"), "run_log", "a") == 2
+    assert tables.replace_run(rows("b/1 %"), "run_log", "b/1 %") == 1
+    assert tables.replace_run(rows("a", "a", "a"), "run_log", "a") == 3
+    counts = {r["run_id"]: r["count"] for r in spark.table("run_log").groupBy("run_id").count().collect()}
+    assert counts == {"a": 3, "b/1 %": 1}
+    assert tables.replace_run(rows("a").limit(0), "run_log", "a") == 0
+    assert [r["run_id"] for r in spark.table("run_log").collect()] == ["b/1 %"]

@@ -300,3 +300,43 @@ def test_a_failed_write_is_audited_and_stops_the_run(spark, paths):
     assert (failed.status, failed.row_count) == ("failed", None)
     assert "Exception: " in failed.error_message
     assert spark.table(ISSUE_TABLE).count() == issue_count
+
+
+def _specs(*names):
+    return [
+        TableSpec(n, "BLS", "f", required=("footnote_code",), key=("footnote_code",))
+        for n in names
+    ]
+
+
+def test_a_failed_run_changes_no_table_where_all_are_published_together(spark, tmp_path, paths):
+    from source_files import write_tsv
+
+    job = TableJob(spark, together=True)
+    full, names = paths["bls_oews_footnotes"], ("together_a", "together_b")
+    job.run(_specs(*names), dict.fromkeys(names, full), run_id="together-1")
+    before = {n: spark.table(n).count() for n in names}
+    empty = write_tsv(tmp_path / "e.txt", ["footnote_code", "footnote_text"], [])
+    wrong = (*names, "no such schema.t")
+    with pytest.raises(RuntimeError, match="together-2"):
+        job.run(_specs(*wrong), dict.fromkeys(wrong, empty), run_id="together-2")
+    assert {n: spark.table(n).count() for n in names} == before
+    audit = spark.table(AUDIT_TABLE).filter("run_id = 'together-2'")
+    assert sorted((r.table_name, r.status) for r in audit.collect()) == [
+        ("no such schema.t", "failed"),
+        ("together_a", "withdrawn"),
+        ("together_b", "withdrawn"),
+    ]
+    with pytest.raises(ValueError, match="together"):
+        TableJob(spark, format="delta", together=True)
+
+
+def test_a_repeated_run_is_logged_once(spark, paths):
+    name = "repeated_run"
+    for _ in range(2):
+        found = TableJob(spark).run(
+            _specs(name), {name: paths["bls_oews_footnotes"]}, run_id="again"
+        )
+    logged = spark.table(ISSUE_TABLE).filter("run_id = 'again'").count()
+    assert logged == found.issue_count
+    assert spark.table(AUDIT_TABLE).filter("run_id = 'again'").count() == 1

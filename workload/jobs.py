@@ -8,6 +8,8 @@ are read from the folders of its tables.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,17 +77,25 @@ class _Run:
         self.specs = [spec for spec, _ in made]
         self.paths = {spec.name: path for spec, path in made}
 
-    def run(self, read: list[str]) -> dict[str, DataFrame]:
+    def run(self, read: list[str], times: int = 1) -> dict[str, DataFrame]:
         """Run the job; frames over the files of the tables to be read."""
-        spark = self.spark
-        spark.sql(f"CREATE DATABASE {self.schema} LOCATION '{self.folder}/database'")
-        job = TableJob(spark, self.schema, f"{self.folder}/tables")
-        try:
+
+        def work(job: TableJob) -> None:
             try:
-                job.run(self.specs, self.paths, run_id="run-1")
+                for _ in range(times):
+                    job.run(self.specs, self.paths, run_id="run-1")
             except RuntimeError:
                 if AUDIT_TABLE not in read or len(read) > 1:
                     raise
+
+        return self.within(work, read)
+
+    def within(self, work: Callable[[TableJob], None], read: list[str], **job) -> dict:
+        """Let ``work`` use the job; frames over the files of the tables to be read."""
+        spark = self.spark
+        spark.sql(f"CREATE DATABASE {self.schema} LOCATION '{self.folder}/database'")
+        try:
+            work(TableJob(spark, self.schema, f"{self.folder}/tables", **job))
             return {name: self._files(name) for name in read}
         finally:
             spark.sql(f"DROP DATABASE {self.schema} CASCADE")
@@ -111,9 +121,11 @@ def job_zones(spark: SparkSession, d: str) -> DataFrame:
     return clean.drop("source_file_path", "run_id", "processed_at")
 
 
-def job_log(spark: SparkSession, d: str) -> DataFrame:
+def job_log(spark: SparkSession, d: str, times: int = 1) -> DataFrame:
     """Issues by rule and the audit rows of a run over two source systems."""
-    read = _Run(spark, d, list(SOURCES)).run([ISSUE_TABLE, AUDIT_TABLE])
+    read = _Run(spark, d, ["bls_oews_observations", "onet_job_zones"]).run(
+        [ISSUE_TABLE, AUDIT_TABLE], times
+    )
     issues = read[ISSUE_TABLE].groupBy(
         F.col("dataset_name").alias("table_name"), F.col("rule_name").alias("entry")
     ).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -124,6 +136,51 @@ def job_log(spark: SparkSession, d: str) -> DataFrame:
     return issues.unionAll(audit).select(short, "entry", "n_rows")
 
 
+def job_log_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """The same after the run was repeated under its id."""
+    return job_log(spark, d, times=2)
+
+
+def job_all_or_none(spark: SparkSession, d: str) -> DataFrame:
+    """Tables and audit after a run, and one that fails between its tables.
+
+    The second run reads sources without rows; the tables still hold the first one's.
+    """
+    names = ["bls_oews_observations", "onet_job_zones"]
+    run = _Run(spark, d, names)
+    empty = {}
+    for name in names:
+        empty[name] = f"{run.folder}/empty-{name}"
+        source = spark.read.csv(run.paths[name], sep="\t", header=True)
+        source.limit(0).write.csv(empty[name], sep="\t", header=True)
+    wrong = TableSpec(
+        "no such database.t", "LATE", "f", required=("series_id",), key=("series_id",)
+    )
+
+    def work(job: TableJob) -> None:
+        job.run(run.specs, run.paths, run_id="run-1")
+        paths = empty | {wrong.name: empty[names[0]]}
+        try:
+            job.run([*run.specs, wrong], paths, run_id="run-2")
+        except RuntimeError:
+            return
+        raise AssertionError("the second run should have failed")
+
+    read = run.within(work, [*names, AUDIT_TABLE], together=True)
+    last = F.element_at(F.split("table_name", r"\."), -1)
+    audit = read[AUDIT_TABLE].select(
+        last.alias("table_name"), F.concat_ws(" ", "run_id", "status").alias("entry"),
+        F.col("row_count").alias("n_rows"),
+    )
+    held = [
+        read[n].agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(n).alias("table_name"), F.lit("rows").alias("entry"), "n_rows"
+        )
+        for n in names
+    ]
+    return reduce(DataFrame.unionAll, held, audit)
+
+
 def job_failure(spark: SparkSession, d: str) -> DataFrame:
     """Audit rows of a run whose second source system fails; its later table is absent."""
     run = _Run(spark, d, ["bls_oews_observations", "onet_job_zones"])
@@ -164,5 +221,13 @@ def published_view(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (job_observations, job_zones, job_log, job_failure, published_view)
+    for f in (
+        job_observations,
+        job_zones,
+        job_log,
+        job_log_repeated,
+        job_all_or_none,
+        job_failure,
+        published_view,
+    )
 }

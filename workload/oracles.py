@@ -423,6 +423,16 @@ ORACLES: dict[str, str] = {
           date AS source_date_raw, {month('date')} AS data_month, domain_source
         FROM ({ZONED}) WHERE {GOOD_ZONE}""",
     "job_log": _job_log(),
+    "job_log_repeated": _job_log(),
+    "job_all_or_none": f"""
+        WITH n AS (
+          SELECT 'bls_oews_observations' AS table_name,
+            count(DISTINCT (series_id, year, period)) AS n_rows
+          FROM ({OBSERVED}) WHERE series_id<>'N/A'
+          UNION ALL SELECT 'onet_job_zones', count(DISTINCT code) FROM ({ZONED}) WHERE {GOOD_ZONE})
+        SELECT table_name, e.entry, CASE WHEN e.entry='run-2 withdrawn' THEN 0 ELSE n_rows END AS n_rows
+        FROM n, (VALUES ('rows'), ('run-1 success'), ('run-2 withdrawn')) AS e(entry)
+        UNION ALL SELECT 't', 'run-2 failed', NULL""",
     "published_view": f"""{PROJECTION_FACT}
         SELECT * FROM fact UNION ALL SELECT * FROM fact""",
     "job_failure": f"""
