@@ -4,6 +4,11 @@ Every stage takes the session, the documents its predecessor kept and the table
 and returns the documents it keeps with their columns; the last returns where each
 document stands in the token files. ``run`` writes every result to the shared folder and
 reads it back, so that a stage never recomputes the ones before it.
+
+Defined results: an empty table gives an empty result; NULL and empty texts fail the base
+rules and go first; of rows of equal id and text one stays; rows without id are documents
+of their own; NULL sources are a source; ties are broken by hashes of id and text, so that
+reruns agree. Further columns, whatever their names, pass through to the last stage.
 """
 
 from __future__ import annotations
@@ -13,8 +18,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import balancing, decontamination, divergence, minhash, token_files
-from strata.llm.frames import staged, table
+from strata.llm.frames import table
 from strata.llm.queries import vocabulary
+from strata.sources.tables import delete_folder, new_folder, owned_stages
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,8 +64,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of a folder.
+
+    What a stage writes for itself is deleted when its result is written, and its result
+    when the next stage's is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_folder(spark, f"stage-{name}")
+        with owned_stages(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return docs

@@ -6,6 +6,7 @@ import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.sources.tables import new_folder
 
@@ -38,3 +39,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keys(df: DataFrame, label: str, most: int = 1 << 20) -> DataFrame:
+    """Staged key rows for a join: broadcast up to ``most`` rows, shuffled beyond.
+
+    Whole rows are then joined to few keys where they are, and not moved at all.
+    """
+    held = staged(df, label)
+    return F.broadcast(held) if held.count() <= most else held

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.buffers import BLOCK, blocks, mix, utf8, word_hashes
 from strata.llm.components import roots
-from strata.llm.frames import staged
+from strata.llm.frames import keys, staged
 
 
 @dataclass(frozen=True)
@@ -255,7 +255,8 @@ def _close(a: str, b: str, how: Settings) -> Column:
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, how: Settings) -> DataFrame:
     """Staged sets of the nodes, read from the texts again."""
-    texts = docs.join(nodes, docs["row"] == nodes["node"], "left_semi")
+    nodes = keys(nodes, "minhash-keys")
+    texts = docs.join(nodes, F.col("row") == F.col("node"), "left_semi")
     return staged(_sets(texts, how), "shingle-sets")
 
 
@@ -358,16 +359,30 @@ def _labelled(docs: DataFrame, id: str, text: str, how: Settings) -> DataFrame:
         .distinct()
     )
     # Every confirmation needs only the text of a node's own row.
-    own = docs.join(nodes.select("node"), docs["row"] == F.col("node"), "left_semi")
     stars = staged(stars, "candidates")
     ends = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    links = staged(_confirmed(stars, _full_sets(own, ends, how), how), "links")
+    links = staged(_confirmed(stars, _full_sets(docs, ends, how), how), "links")
     first = roots(links)
-    mixed = _mixed_buckets(shared, first, nodes)
-    members = mixed.select("node", "root").distinct()
-    sets = _full_sets(own, members.select("node"), how)
-    known = _shareable(sets, members).join(_fine_sketches(sets, how), "node")
-    mixed = staged(mixed.join(known, "node"), "minhash-mixed")
+    narrow = _mixed_buckets(shared, first)
+    members = narrow.select("node", "root").distinct()
+    sets = _full_sets(docs, members.select("node"), how)
+    # A node cannot be more similar to any other than its shareable part is to itself.
+    able = staged(
+        _shareable(sets, members)
+        .join(nodes.select("node", "n_shingles"), "node")
+        .filter(100 * F.col("shareable") >= how.percent * F.col("n_shingles")),
+        "minhash-able",
+    )
+    narrow = staged(
+        _several(narrow.join(able.select("node"), "node", "left_semi")), "minhash-narrow"
+    )
+    left = keys(narrow.select("node").distinct(), "minhash-keys")
+    known = (
+        able.join(left, "node", "left_semi")
+        .join(_fine_sketches(sets.join(left, "node", "left_semi"), how), "node")
+        .join(nodes.select("node", "bands", "sketch"), "node")
+    )
+    mixed = staged(narrow.join(known, "node"), "minhash-mixed")
     most = F.least("a.shareable", "b.shareable")
     # A pair is tested in the first band that it shares.
     same = F.zip_with("a.bands", "b.bands", lambda x, y: x == y)
@@ -414,9 +429,18 @@ def _labelled(docs: DataFrame, id: str, text: str, how: Settings) -> DataFrame:
     )
 
 
-def _mixed_buckets(
-    shared: DataFrame, labels: DataFrame, nodes: DataFrame
-) -> DataFrame:
+def _several(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    several = (
+        members.groupBy("bucket")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter(F.col("low") != F.col("high"))
+        .select("bucket")
+    )
+    return members.join(several, "bucket")
+
+
+def _mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, but for their hubs.
 
     The pairs with a hub have been tested.
@@ -424,17 +448,8 @@ def _mixed_buckets(
     rooted = shared.join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    others = rooted.filter(F.col("node") != F.col("hub"))
-    several = (
-        others.groupBy("bucket")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("bucket")
-    )
-    return staged(
-        others.join(several, "bucket").join(nodes, "node").drop("hub"),
-        "minhash-members",
-    )
+    others = rooted.filter(F.col("node") != F.col("hub")).drop("hub")
+    return staged(_several(others), "minhash-members")
 
 
 def drop_duplicates(
@@ -446,26 +461,29 @@ def drop_duplicates(
     and text one. Rows without shingles are copies of nothing and all stay, but one of
     those that have an id and are equal in id and text.
     """
-    labels = _labelled(docs, id, text, how)
-    kept = (
-        labels.filter(F.coalesce(F.col("row") == F.col("chosen"), F.col("chosen").isNull()))
-        .select(
-            F.col("row").alias("kept_row"),
-            (F.col("chosen").isNull() & F.col("doc_id").isNull()).alias("each"),
-        )
-        .distinct()
+    labels = staged(_labelled(docs, id, text, how).select("doc_id", "row", "chosen"), "labels")
+    kept = labels.filter(
+        F.coalesce(F.col("row") == F.col("chosen"), F.col("chosen").isNull())
+    )
+    each = F.col("chosen").isNull() & F.col("doc_id").isNull()
+    counted = (
+        kept.groupBy(F.col("row").alias("kept_row"))
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_and(each).alias("each"))
+        .select("kept_row", (F.col("each") | (F.col("n") == 1)).alias("whole"))
     )
+    whole, repeated = (
+        keys(counted.filter(which).select("kept_row"), "kept-rows")
+        for which in ("whole", "not whole")
+    )
+    key = _row_key(docs[id].cast("long"), docs[text])
+    # Most rows stay as they are; only rows of equal id and text have to meet.
+    stay = docs.join(whole, key == F.col("kept_row"), "left_semi")
     # Maps have no hash.
     hashed = [docs[c] for c, kind in docs.dtypes if "map<" not in kind]
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.xxhash64(*hashed).alias("tie"),
-        _row_key(docs[id].cast("long"), docs[text]).alias("key"),
-    ).join(kept, F.col("key") == F.col("kept_row"))
-    single = packed.filter(~F.col("each")).groupBy("key")
-    return (
-        single.agg(F.min_by("row", "tie").alias("row"))
-        .select("row")
-        .unionAll(packed.filter("each").select("row"))
-        .select("row.*")
-    )
+        key.alias("key"),
+    ).join(repeated, F.col("key") == F.col("kept_row"), "left_semi")
+    single = packed.groupBy("key").agg(F.min_by("row", "tie").alias("row"))
+    return stay.unionAll(single.select("row.*"))
