@@ -42,7 +42,7 @@ def test_header_offset_of_a_file_in_many_blocks(spark, tmp_path):
     before = spark.conf.get(limit)
     spark.conf.set(limit, "16k")
     try:
-        df = files.read_with_header_offset(spark, path, 2)
+        df = files.read_with_header_offset(spark, path, 2, line_breaks=False)
         assert df.rdd.getNumPartitions() > 4
         assert sorted(int(r.id) for r in df.collect()) == list(range(2000))
     finally:
@@ -274,3 +274,41 @@ def test_a_repeated_run_replaces_its_rows_only(spark):
     assert counts == {"a": 3, "b/1 %": 1}
     assert tables.replace_run(rows("a").limit(0), "run_log", "a") == 0
     assert [r["run_id"] for r in spark.table("run_log").collect()] == ["b/1 %"]
+
+
+def test_cells_with_line_breaks(spark, rows, tmp_path):
+    texts = [
+        'Title\n\n"a\n\nb"\tx\nid\t"na\nme"\tv\n1\t"two\n\nlines"\t5"\n\t\t\n2\tplain\t'
+        '"q ""x"" y"\n\n3\tb\n',
+        'T2\n\nz\nv\tid\t"na\nme"\n9\t7\t"tab\there"\n',
+        '\n\n\nid\tv\t"na\nme"\n',
+    ]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.txt").write_text(text)
+    df = files.read_with_header_offset(spark, str(tmp_path), 3)
+    assert df.columns == ["id", "na\nme", "v"]
+    assert rows(df) == sorted(
+        [
+            ("1", "two\n\nlines", '5"'),
+            ("2", "plain", 'q "x" y'),
+            ("3", "b", None),
+            ("7", "tab\there", "9"),
+        ],
+        key=repr,
+    )
+
+
+def test_sheets_of_one_column(spark, rows, tmp_path):
+    (tmp_path / "one.txt").write_text('head\nname\n"a\nb"\n"say ""x"""\nplain\n')
+    df = files.read_with_header_offset(spark, str(tmp_path), 1)
+    assert rows(df) == [("a\nb",), ("plain",), ('say "x"',)]
+
+
+def test_both_ways_of_reading_agree_where_no_cell_holds_a_break(spark, rows, tmp_path):
+    body = "\n".join(f"{i}\t{'x' * (i % 5)}\t{i % 7 or ''}" for i in range(300))
+    (tmp_path / "s.txt").write_text(f"T\n\nid\ta\tb\n{body}\n")
+    whole, split = (
+        files.read_with_header_offset(spark, str(tmp_path), 2, line_breaks=b)
+        for b in (True, False)
+    )
+    assert rows(whole) == rows(split) and whole.columns == split.columns

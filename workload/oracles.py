@@ -446,7 +446,9 @@ ORACLES: dict[str, str] = {
           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderday, o_orderpriority
         FROM orders""",
     "header_offset_read": """
-        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+          c_name || CASE WHEN c_custkey%10=3
+            THEN chr(10) || chr(10) || 'the "second" line' ELSE '' END AS c_name,
           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""",
     "file_manifest": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS n_rows, true AS all_have_content FROM {n}"

@@ -132,13 +132,18 @@ def scan_delimited(spark, d):
 
 @query
 def header_offset_read(spark, d):
-    """Customers in several files, each with three junk lines above its header.
+    """Customers in several files, each with three junk rows above its header.
 
-    Every second file has its columns in the opposite order.
+    Every second file has its columns in the opposite order. Cells hold line breaks,
+    blank lines and quotes, in the junk as well.
     """
     folder = new_folder(spark, "customer-preamble")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = ["c_custkey", "c_name", "", "c_nationkey", "c_mktsegment"]
+    name = F.when(
+        F.col("c_custkey") % 10 == 3,
+        F.concat(F.lit('"'), F.col("c_name"), F.lit('\n\nthe ""second"" line"')),
+    ).otherwise(F.col("c_name"))
 
     def line(values) -> Column:
         return F.concat_ws("\t", *values)
@@ -149,6 +154,7 @@ def header_offset_read(spark, d):
     row = either([F.col(c) if c else F.lit("") for c in cells])
     body = (
         table(spark, d, "customer")
+        .withColumn("c_name", name)
         .withColumn(
             "part", F.pmod(F.xxhash64("c_custkey"), F.lit(files)).cast("int")
         )
@@ -162,7 +168,7 @@ def header_offset_read(spark, d):
         )
     )
     header = either([F.lit(c) for c in cells])
-    top = [F.lit("Customers"), F.lit(""), F.lit("not data"), header]
+    top = [F.lit("Customers"), F.lit(""), F.lit('"not\n\ndata"\tnor this'), header]
     preamble = (
         body.select("part")
         .distinct()
