@@ -141,6 +141,30 @@ class Required:
         )
 
 
+#: Column that carries the text of rows whose cells do not match the header.
+MALFORMED = "malformed_source_row"
+
+
+@dataclass(frozen=True)
+class WellFormed:
+    """The row has as many cells as the header; reported with its text, and kept."""
+
+    key: tuple[str, ...]
+    column: str = MALFORMED
+
+    def finding(self, values: Mapping[str, Column]) -> Finding | None:
+        if self.column not in values:
+            return None
+        return Finding(
+            values[self.column].isNotNull(),
+            _key(self.key, values),
+            "warning",
+            "malformed_row",
+            "The row has more or fewer cells than the header.",
+            values[self.column],
+        )
+
+
 @dataclass(frozen=True)
 class Finding:
     """One check compiled to columns: when it fails and what it then reports."""

@@ -13,9 +13,11 @@ from strata.functions.keys import CONFLICT, COPIES
 from strata.operators.clean import Field, base_frame, select_fields
 from strata.operators.dedup import deduplicate, repeated_issues, with_row_hash
 from strata.operators.quality import (
+    MALFORMED,
     Dataset,
     InRange,
     Matches,
+    WellFormed,
     check,
     issue_rows,
     union_issues,
@@ -46,7 +48,7 @@ class TableSpec:
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
         if self.header_row is None:
-            return read_delimited(spark, path)
+            return read_delimited(spark, path, malformed=MALFORMED)
         return read_with_header_offset(spark, path, self.header_row)
 
     def dataset(
@@ -63,16 +65,19 @@ class TableSpec:
     ) -> tuple[DataFrame, DataFrame | None]:
         """Cleaned, cast and checked rows, and issues for absent columns."""
         base = base_frame(self.read(spark, path), path, run_id, run_time)
-        selected = base if self.fields is None else select_fields(base, self.fields)
-        return check(
+        selected = base
+        if self.fields is not None:
+            selected = select_fields(base, [*self.fields, Field(MALFORMED)])
+        annotated, missing = check(
             selected,
             self.dataset(path, run_id, run_time),
             self.required,
             self.key,
             self.casts,
             self.cast_key,
-            self.rules,
+            (*self.rules, WellFormed(tuple(self.key))),
         )
+        return annotated.drop(MALFORMED), missing
 
     def build(
         self,

@@ -9,22 +9,35 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.headers import fill_header
 from strata.operators.clean import drop_empty_rows
 from strata.sources.tables import stage
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t") -> DataFrame:
-    """Delimited file with a header line; ragged rows are padded or cut."""
-    return spark.read.csv(
-        path,
-        sep=delimiter,
-        header=True,
-        encoding="UTF-8",
-        mode="PERMISSIVE",
-        inferSchema=False,
-    )
+def read_delimited(
+    spark: SparkSession, path: str, delimiter: str = "\t", malformed: str | None = None
+) -> DataFrame:
+    """Delimited file with a header line; ragged rows are padded or cut.
+
+    With ``malformed`` a column of that name holds the text of rows that have more or
+    fewer cells than the header, and NULL for all others.
+    """
+    options = {
+        "sep": delimiter,
+        "header": True,
+        "encoding": "UTF-8",
+        "mode": "PERMISSIVE",
+        "inferSchema": False,
+    }
+    plain = spark.read.options(**options).csv(path)
+    if malformed is None:
+        return plain
+    # A scan that skips columns does not see how many a row has.
+    options |= {"columnNameOfCorruptRecord": malformed, "columnPruning": False}
+    schema = T.StructType([*plain.schema.fields, T.StructField(malformed, T.StringType())])
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_with_header_offset(

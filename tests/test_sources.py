@@ -312,3 +312,14 @@ def test_both_ways_of_reading_agree_where_no_cell_holds_a_break(spark, rows, tmp
         for b in (True, False)
     )
     assert rows(whole) == rows(split) and whole.columns == split.columns
+
+
+def test_malformed_rows_are_kept_with_their_text(spark, rows, tmp_path):
+    (tmp_path / "r.txt").write_text("a\tb\n1\t2\n3\n4\t5\t6\n")
+    df = files.read_delimited(spark, str(tmp_path), malformed="text")
+    assert rows(df) == sorted(
+        [("1", "2", None), ("3", None, "3"), ("4", "5", "4\t5\t6")], key=repr
+    )
+    assert rows(df.select("b", "text")) == sorted(
+        [("2", None), (None, "3"), ("5", "4\t5\t6")], key=repr
+    )

@@ -412,6 +412,16 @@ def _job_log() -> str:
     )
 
 
+RAGGED = """
+    WITH ragged AS (
+      SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+        CASE WHEN o_orderkey%10<>1 THEN o_orderstatus END AS o_orderstatus,
+        CASE o_orderkey%10 WHEN 1 THEN concat_ws(chr(9), o_orderkey, o_custkey)
+          WHEN 2 THEN concat_ws(chr(9), o_orderkey, o_custkey, o_orderstatus, 'more')
+        END AS row_text
+      FROM orders)
+"""
+
 ORACLES: dict[str, str] = {
     "job_observations": f"""
         SELECT DISTINCT series_id, CAST(year AS INT) AS year, period, value AS value_raw,
@@ -445,6 +455,11 @@ ORACLES: dict[str, str] = {
           CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderday, o_orderpriority
         FROM orders""",
+    "scan_ragged": f"{RAGGED} SELECT * FROM ragged",
+    "issues_malformed": f"""{RAGGED}
+        SELECT 'row' AS entry, o_orderkey AS record_key, o_orderstatus AS raw_value FROM ragged
+        UNION ALL SELECT 'malformed_row', o_orderkey, row_text FROM ragged
+        WHERE row_text IS NOT NULL""",
     "header_offset_read": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
           c_name || CASE WHEN c_custkey%10=3

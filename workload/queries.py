@@ -58,7 +58,7 @@ from strata.operators.quality import (
 )
 from strata.operators.ranking import dense_rank
 from strata.plans import board, gold
-from strata.plans.spec import Finished
+from strata.plans.spec import Finished, TableSpec
 from strata.plans.table_job import Audit, newest_first
 from strata.sources.files import read_delimited, read_with_header_offset
 from strata.sources.manifest import (
@@ -130,6 +130,53 @@ def scan_delimited(spark, d):
     return read_delimited(spark, folder)
 
 
+def _ragged_orders(spark: SparkSession, d: str) -> str:
+    """Orders as text, some rows with a cell too few and some with one too many."""
+    folder = new_folder(spark, "ragged-tsv")
+    key = F.col("o_orderkey")
+    cells = [key.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    row = (
+        F.when(key % 10 == 1, F.concat_ws("\t", *cells[:2]))
+        .when(key % 10 == 2, F.concat_ws("\t", *cells, F.lit("more")))
+        .otherwise(F.concat_ws("\t", *cells))
+    )
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).cast("int")
+    body = table(spark, d, "orders").select(
+        part.alias("part"), F.lit(1).alias("place"), row.alias("value")
+    )
+    # Every file begins with the header.
+    top = F.lit("o_orderkey\to_custkey\to_orderstatus")
+    tops = body.select("part").distinct().select(
+        "part", F.lit(0).alias("place"), top.alias("value")
+    )
+    tops.unionAll(body).repartition("part").sortWithinPartitions("part", "place").select(
+        "part", "value"
+    ).write.partitionBy("part").text(folder)
+    return folder
+
+
+@query
+def scan_ragged(spark, d):
+    """Rows of another number of cells are padded or cut, and their text is kept."""
+    read = read_delimited(spark, _ragged_orders(spark, d), malformed="row_text")
+    return read.select("o_orderkey", "o_custkey", "o_orderstatus", "row_text")
+
+
+@query
+def issues_malformed(spark, d):
+    """The same rows through a table declaration: kept, with an issue each."""
+    spec = TableSpec(
+        "orders", "SHOP", "orders.txt", required=("o_orderkey",), key=("o_orderkey",)
+    )
+    clean, found = spec.build(spark, _ragged_orders(spark, d), RUN_ID, RUN_TIME)
+    kept = clean.select(
+        F.lit("row").alias("entry"), F.col("o_orderkey").alias("record_key"),
+        F.col("o_orderstatus").alias("raw_value"),
+    )
+    return kept.unionAll(found.select("rule_name", "record_key", "raw_value"))
+
+
 @query
 def header_offset_read(spark, d):
     """Customers in several files, each with three junk rows above its header.
