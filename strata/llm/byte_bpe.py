@@ -176,6 +176,11 @@ class Block:
         return pa.RecordBatch.from_pylist(rows, schema=_BLOCK)
 
 
+def _give_back() -> None:
+    """Return freed memory of Arrow to the system; workers stay for the next stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def _in_blocks(docs: DataFrame, how: Settings) -> DataFrame:
     """Write positions and words once, bucketed by block."""
     spark = docs.sparkSession
@@ -191,10 +196,17 @@ def _in_blocks(docs: DataFrame, how: Settings) -> DataFrame:
                 if held.rows and held.held + size > how.block_bytes:
                     yield held.sent(parts)
                     held = Block(held.block + 1)
+                    _give_back()
                 bounds = offsets[first : last + 1] - offsets[first]
                 piece = data[offsets[first] : offsets[last]].tobytes()
                 yield held.add(batch.column(0).slice(first, last - first), piece, bounds)
-        yield held.sent(parts)
+            del data
+            _give_back()
+        sent = held.sent(parts)
+        del held
+        yield sent
+        del sent
+        _give_back()
 
     name = f"words_{uuid.uuid4().hex}"
     (
@@ -276,7 +288,8 @@ def _assembled(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
     ends = np.cumsum(np.concatenate([np.zeros(1, np.int32), *length]), dtype=np.int32)
     by_word = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held or none)))
     by_word = by_word.take(pa.array(np.argsort(np.concatenate(number or none))))
-    del held, number
+    del held, number, length, answers
+    _give_back()
     out = []
     # One run of texts at a time is taken out of the block.
     for i in np.argsort(rows.column("row").to_numpy()).tolist():
@@ -313,7 +326,7 @@ def decode(encoded: DataFrame, how: Settings, ids: str = "ids") -> DataFrame:
         table = _token_bytes(how.ranks)
         for whole in batches:
             counts = pc.fill_null(pc.list_value_length(whole.column(ids)), 0).to_numpy()
-            for first, last in blocks(np.append(0, np.cumsum(counts)), BLOCK // 2):
+            for first, last in blocks(np.append(0, np.cumsum(counts)), BLOCK // 8):
                 batch = whole.slice(first, last - first)
                 flat = pc.fill_null(batch.column(ids).flatten(), len(table) - 1)
                 known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table)))
@@ -327,6 +340,8 @@ def decode(encoded: DataFrame, how: Settings, ids: str = "ids") -> DataFrame:
                     [*batch.columns, joined.cast(pa.binary())],
                     names=[*batch.schema.names, "bytes"],
                 )
+            del whole
+            _give_back()
 
     schema = encoded.drop("bytes").schema.add("bytes", "binary")
     return encoded.drop("bytes").mapInArrow(run, schema)
