@@ -17,7 +17,8 @@ ISSUES = "__issues"
 HASH = "__row_hash"
 COPIES = "__copies"
 CONFLICT = "__conflict"
-HELPERS = (ISSUES, HASH, COPIES, CONFLICT)
+PLACE = "__place"
+HELPERS = (ISSUES, HASH, COPIES, CONFLICT, PLACE)
 
 # Lineage columns say where a row came from, not what it holds.
 LINEAGE_COLUMNS = ("source_file_path", "run_id", "processed_at")

@@ -3,6 +3,11 @@
 The kept row is the one with the smallest content hash. It is found by an
 aggregate, not by a window: every map task first reduces its rows to one per key,
 so a key that holds a large share of the table is never gathered in one task.
+
+Two forms: ``deduplicate`` carries the whole row through the aggregate and needs no
+stage. For wide rows ``choose_rows`` aggregates fixed-width numbers only, the hash and
+the place of a row in a stage (``placed``), and ``chosen_rows`` fetches the chosen ones
+afterwards, by places, which no key can make uneven.
 """
 
 from __future__ import annotations
@@ -17,11 +22,17 @@ from strata.functions.keys import (
     COPIES,
     HASH,
     HELPERS,
+    LINEAGE_COLUMNS,
+    PLACE,
     content_columns,
     record_key,
     row_hash,
 )
 from strata.operators.quality import Dataset
+from strata.sources.tables import stage
+
+#: Hexadecimal digits of a hash that a positive long holds.
+_DIGITS = 15
 
 
 def with_row_hash(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -68,6 +79,45 @@ def deduplicate(
     )
 
 
+def placed(df: DataFrame, label: str, strict: bool = False) -> DataFrame:
+    """The rows staged with their content hash and a unique place each."""
+    hashed = with_row_hash(df, strict)
+    return stage(hashed.withColumn(PLACE, F.monotonically_increasing_id()), label)
+
+
+def choose_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the place of the kept row, the number of copies, and whether they differ.
+
+    ``rows`` is a frame of ``placed`` rows. Every buffer of the aggregate has a fixed
+    width, so it is a hash aggregate: rows are neither sorted nor moved whole. Hashes are
+    compared by their first 60 bits. Rows of equal content that differ in lineage are told
+    apart by a hash of it, so reruns over the same rows keep the same one.
+    """
+    keys = _present(rows, keys)
+    start = F.substring(F.hex(HASH), 1, _DIGITS)
+    content = F.conv(start, 16, 10).cast("long")
+    order = content
+    lineage = [c for c in rows.columns if c in LINEAGE_COLUMNS]
+    if lineage:
+        low = F.xxhash64(*lineage).bitwiseAND(F.lit((1 << 60) - 1))
+        high = content.cast("decimal(19,0)") * F.lit(1 << 60).cast("decimal(19,0)")
+        order = (high + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+    numbers = rows.select(
+        *keys, PLACE, content.alias("__content"), order.alias("__order")
+    )
+    return numbers.groupBy(*keys).agg(
+        F.min_by(PLACE, "__order").alias(PLACE),
+        F.count(F.lit(1)).alias(COPIES),
+        (F.min("__content") != F.max("__content")).alias(CONFLICT),
+    )
+
+
+def chosen_rows(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows at the chosen places, without the helper columns."""
+    columns = [c for c in rows.columns if c not in HELPERS]
+    return rows.join(chosen.select(PLACE), PLACE, "left_semi").select(*columns)
+
+
 def _lineage(columns: Sequence[str]) -> list[str]:
     content = set(content_columns(columns))
     return [c for c in columns if c not in content]

@@ -9,9 +9,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.functions.keys import CONFLICT, COPIES
+from strata.functions.keys import HELPERS
 from strata.operators.clean import Field, base_frame, select_fields
-from strata.operators.dedup import deduplicate, repeated_issues, with_row_hash
+from strata.operators.dedup import choose_rows, chosen_rows, placed, repeated_issues
 from strata.operators.quality import (
     MALFORMED,
     Dataset,
@@ -98,7 +98,9 @@ class Finished:
     """A checked table, staged once; its clean rows and issues are reads of the stage.
 
     Staging evaluates the cleaning and the checks exactly once. The clean rows, the
-    findings and the repeated keys then read only the columns they need.
+    findings and the repeated keys then read only the columns they need. The choice of
+    the kept rows is staged too, as numbers: it tells the repeated keys, and whole rows
+    move only where they are written.
     """
 
     staged: DataFrame
@@ -116,30 +118,32 @@ class Finished:
         key: Sequence[str],
         dataset: Dataset,
     ) -> Finished:
-        """Write the annotated frame, with the content hash of each row, to the stage."""
-        staged = stage(with_row_hash(annotated), dataset.name)
-        return cls(staged, missing, required, key, dataset)
+        """Write the annotated frame, with hash and place of each row, to the stage."""
+        return cls(placed(annotated, dataset.name), missing, required, key, dataset)
 
-    @cached_property
-    def counted(self) -> DataFrame:
-        """One row per key with its number of copies: the one shuffle of the table.
+    @property
+    def valid(self) -> DataFrame:
+        return valid_rows(self.staged, self.required)
 
-        Staged, since both the clean rows and the repeated keys are read from it.
-        """
-        valid = valid_rows(self.staged, self.required)
-        return stage(deduplicate(valid, self.key, counted=True), self.dataset.name)
+    @cached_property
+    def chosen(self) -> DataFrame | None:
+        """One row per key with its number of copies; None without any key column."""
+        if not any(k in self.staged.columns for k in self.key):
+            return None
+        return stage(choose_rows(self.valid, self.key), self.dataset.name)
 
     def clean(self) -> DataFrame:
         """Rows with every required value, one per key."""
-        return self.counted.drop(COPIES, CONFLICT)
+        if self.chosen is None:
+            return self.valid.drop(*HELPERS)
+        return chosen_rows(self.valid, self.chosen)
 
     def issues(self) -> DataFrame:
         """All issues: absent columns, findings of the rows, repeated keys."""
+        repeated = None
+        if self.chosen is not None:
+            repeated = repeated_issues(self.chosen, self.key, self.dataset)
         return union_issues(
             self.staged.sparkSession,
-            [
-                self.missing,
-                issue_rows(self.staged, self.dataset),
-                repeated_issues(self.counted, self.key, self.dataset),
-            ],
+            [self.missing, issue_rows(self.staged, self.dataset), repeated],
         )

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import row_hash
 from strata.operators.dedup import (
+    choose_rows,
+    chosen_rows,
     deduplicate,
     duplicate_issues,
     duplicate_keys,
+    placed,
     repeated_issues,
 )
 from strata.operators.quality import Dataset
@@ -48,19 +51,21 @@ def brute_force(data):
     return kept, repeated
 
 
-@settings(
-    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]),
+        st.sampled_from([1, 2, None]),
+        st.sampled_from(["x", "y", "||", None]),
+    ),
+    max_size=30,
 )
-@given(
-    st.lists(
-        st.tuples(
-            st.sampled_from(["a", "b", None]),
-            st.sampled_from([1, 2, None]),
-            st.sampled_from(["x", "y", "||", None]),
-        ),
-        max_size=30,
-    )
+FEW = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
+
+
+@FEW
+@given(ROWS)
 def test_dedup_against_brute_force(spark, rows, data):
     df = spark.createDataFrame(data, DDL)
     kept, repeated = brute_force(data)
@@ -68,6 +73,37 @@ def test_dedup_against_brute_force(spark, rows, data):
     assert rows(duplicate_keys(df, ["k1", "k2"])) == repeated
 
 
+@FEW
+@given(ROWS)
+def test_chosen_places_against_brute_force(spark, rows, data):
+    staged = placed(spark.createDataFrame(data, DDL), "places")
+    kept, repeated = brute_force(data)
+    chosen = choose_rows(staged, ["k1", "k2", "absent"])
+    assert rows(chosen_rows(staged, chosen)) == kept
+    more = chosen.filter("__copies > 1").select("k1", "k2", "__copies", "__conflict")
+    assert rows(more) == repeated
+
+
+def test_places_are_chosen_without_sorting_rows(spark, rows):
+    df = spark.range(4000, numPartitions=8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("hot").alias("k"),
+        (F.col("id") % 7).cast("string").alias("v"),
+        F.concat(F.lit("file"), F.col("id") % 3).alias("source_file_path"),
+    )
+    staged = placed(df, "places").repartition(5)
+    chosen = choose_rows(staged, ["k"])
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "Window" not in plan
+    kept = chosen_rows(staged, chosen)
+    assert kept.columns == df.columns and kept.count() == 401
+    # Equal content in three files: the same row is kept however the rows are dealt.
+    again = chosen_rows(staged.repartition(3), choose_rows(staged.repartition(3), ["k"]))
+    assert rows(again) == rows(kept)
+    hashes = df.filter("k = 'hot'").select(row_hash(df.columns).alias("h"), "v")
+    least = hashes.orderBy("h").first()["v"]
+    assert kept.filter("k = 'hot'").first()["v"] == least
+
+
 def test_a_key_holding_most_rows_is_reduced_before_the_shuffle(spark):
     df = spark.range(20000, numPartitions=8).select(
         F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), "id"

@@ -789,3 +789,4 @@ ORACLES: dict[str, str] = {
         WHERE rn=1 AND amount_qualifier <> 'less_than'
         GROUP BY code ORDER BY 2 DESC NULLS LAST, 1 LIMIT 15""",
 }
+ORACLES["dedup_by_places"] = ORACLES["dedup_keep_min_hash"]

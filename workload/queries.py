@@ -42,7 +42,13 @@ from strata.operators.clean import (
     trim_strings,
     with_lineage,
 )
-from strata.operators.dedup import deduplicate, duplicate_issues
+from strata.operators.dedup import (
+    choose_rows,
+    chosen_rows,
+    deduplicate,
+    duplicate_issues,
+    placed,
+)
 from strata.operators.metrics import MetricView
 from strata.operators.quality import (
     Dataset,
@@ -618,6 +624,13 @@ def dedup_keep_min_hash(spark, d):
     )
 
 
+@query
+def dedup_by_places(spark, d):
+    """The same rows chosen as numbers from a stage and fetched afterwards."""
+    rows = placed(derive(spark, d, inputs.DIRTY_LINEITEM), "dedup_by_places")
+    return chosen_rows(rows, choose_rows(rows, ["l_orderkey", "l_linenumber"]))
+
+
 @query
 def finish_table(spark, d):
     return _finished_orders(spark, d).clean()
