@@ -9,7 +9,16 @@ from __future__ import annotations
 from strata.functions.codes import BASE_CODE_PATTERN
 from workload import inputs
 from workload.inputs import TABLES, oracle_text
-from workload.jobs import OBSERVATION_SOURCE, ZONE_SOURCE
+from workload.jobs import (
+    EDUCATION_SOURCE,
+    INDUSTRY_SOURCE,
+    MATRIX_COVERAGE_SOURCE,
+    OBSERVATION_SOURCE,
+    RELATED_SOURCE,
+    SOFTWARE_SOURCE,
+    TASK_SOURCE,
+    ZONE_SOURCE,
+)
 
 TOKENS = "('','—','–','-','n/a','na','null')"
 DIRTY = ("o_orderkey", "raw_code", "raw_amount", "raw_flag", "raw_month", "raw_zone")
@@ -790,3 +799,55 @@ ORACLES: dict[str, str] = {
         GROUP BY code ORDER BY 2 DESC NULLS LAST, 1 LIMIT 15""",
 }
 ORACLES["dedup_by_places"] = ORACLES["dedup_keep_min_hash"]
+ORACLES |= {
+    published: ORACLES[frame]
+    for published, frame in {
+        "published_dimension": "occupation_dimension",
+        "published_star_fact": "star_fact",
+        "published_education": "bridge_distribution",
+        "published_skill": "bridge_family_rank",
+        "published_software": "bridge_distinct",
+        "published_job_zone": "bridge_label",
+    }.items()
+}
+_CODED = """SELECT DISTINCT code AS onet_soc_code_raw, code AS onet_soc_code,
+          substr(code,1,7) AS soc_code,"""
+ORACLES |= {
+    "job_lookup_all_columns": f"""
+        SELECT DISTINCT industry_code, trim(industry_name) AS industry_name,
+          TRY_CAST(display_level AS INT) AS display_level, selectable,
+          CAST(sort_sequence AS INT) AS sort_sequence
+        FROM ({oracle_text(INDUSTRY_SOURCE)}) WHERE trim(industry_name)<>''""",
+    "job_header_offset": f"""
+        SELECT DISTINCT code AS soc_code_raw, title AS occupation_title,
+          CAST(sort_order AS INT) AS sort_order, occupation_type,
+          TRY_CAST(level AS INT) AS occupation_level, code AS soc_code
+        FROM ({oracle_text(MATRIX_COVERAGE_SOURCE)}) WHERE code<>'none' AND title<>''""",
+    "job_category_rating": f"""
+        {_CODED} element_id, element_name, scale_id, CAST(category AS INT) AS category,
+          CAST(data_value AS DOUBLE) AS data_value, TRY_CAST(n_asked AS INT) AS n,
+          TRY_CAST(standard_error AS DOUBLE) AS standard_error,
+          CAST(lower_ci_bound AS DOUBLE) AS lower_ci_bound,
+          TRY_CAST(upper_ci_bound AS DOUBLE) AS upper_ci_bound,
+          CASE recommend_suppress WHEN 'Y' THEN true WHEN 'N' THEN false
+            WHEN ' no ' THEN false END AS recommend_suppress,
+          date AS source_date_raw, {month('date')} AS data_month, domain_source
+        FROM ({oracle_text(EDUCATION_SOURCE)})
+        WHERE code<>'none' AND category<>'top' AND data_value<>'high'""",
+    "job_software_flags": f"""
+        {_CODED} example AS software_name, element_id, element_name,
+          CASE hot WHEN 'Y' THEN true WHEN 'N' THEN false END AS hot_technology,
+          in_demand='true' AS in_demand
+        FROM ({oracle_text(SOFTWARE_SOURCE)}) WHERE code<>'11-10' AND example<>'N/A'""",
+    "job_task_statements": f"""
+        {_CODED} CAST(task_id AS BIGINT) AS task_id, task AS task_statement,
+          nullif(task_type,'-') AS task_type,
+          CASE WHEN asked<>'1.5' THEN CAST(asked AS INT) END AS incumbents_responding,
+          date AS source_date_raw, {month('date')} AS data_month, domain_source
+        FROM ({oracle_text(TASK_SOURCE)}) WHERE task_id<>'first'""",
+    "job_code_pairs": f"""
+        {_CODED} related AS related_onet_soc_code_raw, tier AS relatedness_tier,
+          TRY_CAST(place AS INT) AS "index", related AS related_onet_soc_code,
+          substr(related,1,7) AS related_soc_code
+        FROM ({oracle_text(RELATED_SOURCE)}) WHERE related<>'none'""",
+}
