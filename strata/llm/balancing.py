@@ -9,15 +9,17 @@ features have a target for their mean over the words taken.
 
 Rates are then rounded to whole copies. Within a bounded hash group of a source, from
 long documents to short ones, each document passes on what its copies are short of or
-over, so that a group ends within a short document of its share.
+over, so that a group ends within a short document of its share. Rows that are told apart
+by nothing are rounded one by one all the same: their number is known, so it is computed
+how many of them get one copy more.
 
 What the driver holds is one row per source: the dual has one multiplier for each, and a
 mix with more sources than fit a list is not one this method is for.
 
 Defined results: NULL and empty texts have size 0 and are taken 0 words; a source whose
-documents are all empty has target 0; rows with the same id, source and size get the same
-number of copies; ties in size are taken in the order of a hash of the id; an empty table
-gives an empty result.
+documents are all empty has target 0; of equal rows some may get one copy more than
+the others; ties in size are taken in the order of a hash of the row; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -187,27 +189,36 @@ def _sums(
 
 def _round_group(rows: pd.DataFrame) -> pd.DataFrame:
     """Whole copies for one group, so that its words stay near the sum of its shares."""
-    rows = rows.sort_values(["size", "tie"], ascending=[False, True], kind="stable")
-    copies, over = [], 0.0
-    for words, rate in zip(rows["size"], rows["rate"]):
+    rows = rows.sort_values(["doc_size", "tie"], ascending=[False, True], kind="stable")
+    copies, more, over = [], [], 0.0
+    for words, number, rate in zip(rows["doc_size"], rows["rows"], rows["rate"]):
         low = int(np.floor(rate + 1e-9))
-        want = rate * words - over
-        more = rate - low > 1e-9 and want - low * words > words / 2
-        copies.append(low + int(more))
-        over = copies[-1] * words - want
-    return rows.assign(copies=np.array(copies, dtype="int32"))[_COPIES.names]
+        want = number * rate * words - over
+        up = 0
+        if words and rate - low > 1e-9:
+            # One row after the other, each up when it is short by more than half of it.
+            up = int(np.clip(np.ceil(want / words - number * low - 0.5), 0, number))
+        copies.append(low)
+        more.append(up)
+        over = (number * low + up) * words - want
+    rounded = rows.assign(
+        copies=np.array(copies, dtype="int32"), more=np.array(more, dtype="int64")
+    )
+    return rounded[_COPIES.names]
 
 
 _COPIES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         T.StructField("source", T.StringType()),
+        T.StructField("mark", T.LongType()),
         T.StructField("doc_size", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("source_size", T.LongType()),
         T.StructField("target", T.DoubleType()),
         T.StructField("rate", T.DoubleType()),
         T.StructField("copies", T.IntegerType()),
+        T.StructField("more", T.LongType()),
     ]
 )
 
@@ -217,12 +228,16 @@ def copies(
 ) -> DataFrame:
     """Copies for each distinct ``(doc_id, source, size)`` of a frame of these columns.
 
-    ``features`` names further numeric columns and the mean that each shall have over the
-    words taken. ``rows`` counts the input rows a result row stands for.
+    A column ``mark`` tells rows apart further. ``features`` names further numeric columns
+    and the mean that each shall have over the words taken. ``rows`` counts the input rows
+    a result row stands for: each of them is taken ``copies`` times, and ``more`` of them
+    once more.
     """
     columns = list(features or {})
+    if "mark" not in sized.columns:
+        sized = sized.withColumn("mark", F.lit(0).cast("long"))
     units = staged(
-        sized.groupBy("doc_id", "source", F.col("size").alias("doc_size"))
+        sized.groupBy("doc_id", "source", "mark", F.col("size").alias("doc_size"))
         .agg(F.count(F.lit(1)).alias("rows"), *[F.max(c).alias(c) for c in columns])
         .withColumn("size", F.col("doc_size") * F.col("rows")),
         "mix-sizes",
@@ -253,14 +268,47 @@ def copies(
     rated = _by_source(units, table).withColumns(
         {
             "rate": _rate(columns, tilt, mix),
-            "tie": F.xxhash64("doc_id", "doc_size"),
-            "part": F.pmod(F.xxhash64("doc_id", F.lit("part")), F.col("groups")),
+            "tie": F.xxhash64("doc_id", "doc_size", "mark"),
+            "part": F.pmod(F.xxhash64("doc_id", "mark", F.lit("part")), F.col("groups")),
         }
     )
     # A group holds about mix.group_rows documents, however large its source is.
     return rated.groupBy("source", "part").applyInPandas(_round_group, _COPIES)
 
 
+#: Rows that one task makes of one input row at a time.
+_SLICE = 4096
+
+
+def _numbered(units: DataFrame, number: str) -> DataFrame:
+    """Each row as often as a column says, numbered from 0 in column ``nr``.
+
+    Rows that stand for many are cut into slices, which are dealt to all tasks.
+    """
+    last = ((F.col(number) - 1) / _SLICE).cast("long")
+    first = F.col("slice") * _SLICE
+    end = F.least(F.col(number), first + _SLICE) - 1
+    sliced = units.filter(F.col(number) > 0).withColumn(
+        "slice", F.explode(F.sequence(F.lit(0).cast("long"), last))
+    )
+    keys = [c for c in ("doc_id", "mark", "slice") if c in sliced.columns]
+    return (
+        sliced.repartition(*keys).withColumn("nr", F.explode(F.sequence(first, end))).drop("slice")
+    )
+
+
+def _keyed(docs: DataFrame, id: str, text: str, source: str) -> DataFrame:
+    """The rows with what they are told apart by; ``mark`` is a hash of all columns but maps."""
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        docs[id].cast("long").alias("doc_id"),
+        docs[source].alias("source"),
+        word_count(docs[text]).alias("size"),
+        F.xxhash64(*[docs[c] for c in hashed]).alias("mark"),
+    )
+
+
 def mix_sizes(
     docs: DataFrame,
     id: str = "doc_id",
@@ -269,15 +317,11 @@ def mix_sizes(
     mix: Mix = Mix(),
 ) -> DataFrame:
     """One row per input row: id, size, source_size, target, rate, copies and taken."""
-    sized = docs.select(
-        F.col(id).cast("long").alias("doc_id"),
-        F.col(source).alias("source"),
-        word_count(F.col(text)).alias("size"),
+    sized = _keyed(docs, id, text, source).drop("row")
+    each = _numbered(copies(sized, mix), "rows").withColumn(
+        "copies", F.col("copies") + (F.col("nr") < F.col("more")).cast("int")
     )
-    each = copies(sized, mix)
-    return each.withColumn(
-        "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
-    ).select(
+    return each.select(
         "doc_id",
         F.col("doc_size").alias("size"),
         "source_size",
@@ -295,26 +339,37 @@ def mix_documents(
     source: str = "source",
     mix: Mix = Mix(),
 ) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with all their columns."""
-    packed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[id].cast("long").alias("k_id"),
-        docs[source].alias("k_source"),
-        word_count(docs[text]).alias("k_size"),
-    )
-    sized = packed.select(
-        F.col("k_id").alias("doc_id"),
-        F.col("k_source").alias("source"),
-        F.col("k_size").alias("size"),
-    )
-    each = copies(sized, mix).select("doc_id", "source", "doc_size", "copies")
-    same = (
-        packed["k_id"].eqNullSafe(each["doc_id"])
-        & packed["k_source"].eqNullSafe(each["source"])
-        & (packed["k_size"] == each["doc_size"])
+    """The documents of the mix, each as often as it is taken, with all their columns.
+
+    The copies of equal rows are made of one of them.
+    """
+    packed = _keyed(docs, id, text, source)
+    total = (F.col("copies") * F.col("rows") + F.col("more")).alias("total")
+    each = copies(packed.drop("row"), mix).select(
+        "doc_id", "source", "doc_size", "mark", "rows", total
     )
-    taken = packed.join(each.filter(F.col("copies") > 0), same, "inner")
-    return (
-        taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select("row.*")
+    each = staged(each.filter(F.col("total") > 0), "mix-copies")
+
+    def taken(some: DataFrame) -> DataFrame:
+        same = (
+            packed["doc_id"].eqNullSafe(some["doc_id"])
+            & packed["source"].eqNullSafe(some["source"])
+            & (packed["size"] == some["doc_size"])
+            & (packed["mark"] == some["mark"])
+        )
+        keys = [packed[c] for c in ("row", "doc_id", "source", "size", "mark")]
+        return packed.join(some, same, "inner").select(*keys, some["total"])
+
+    single = taken(each.filter(F.col("rows") == 1))
+    made = single.withColumn("nr", F.explode(F.sequence(F.lit(1).cast("long"), F.col("total"))))
+    made = made.select("row.*")
+    repeated = each.filter(F.col("rows") > 1)
+    if repeated.isEmpty():
+        return made
+    # Of equal rows each map task keeps one; the copies are made of that.
+    several = (
+        taken(repeated)
+        .groupBy("doc_id", "source", "size", "mark")
+        .agg(F.first("row").alias("row"), F.first("total").alias("total"))
     )
+    return made.unionAll(_numbered(several, "total").select("row.*"))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
 from strata.llm import balancing, decontamination, substrings, token_files
 from strata.llm.buffers import Prefix, blocks, utf8, word_hashes
 from strata.llm.queries import vocabulary
@@ -346,6 +347,50 @@ def test_mixed_documents_are_repeated_with_their_columns(spark):
     assert count == Counter({i: n for i, n in taken.items() if n})
 
 
+def test_rows_that_nothing_tells_apart_are_rounded_one_by_one(spark):
+    docs = spark.range(10200).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.when(F.col("id") < 1000, "w " * 10).otherwise("v " * 4).alias("text"),
+        F.when(F.col("id") < 1000, "a").otherwise("b").alias("source"),
+    )
+    mix = balancing.Mix(weights=(1, 4), total_percent=110)
+    got = balancing.mix_sizes(docs, mix=mix)
+    assert got.count() == 10200
+    sums = got.groupBy("source_size").agg(F.sum("taken"), F.max("target")).collect()
+    assert len(sums) == 2
+    for _, taken, target in sums:
+        assert taken == pytest.approx(target, rel=0.005)
+    mixed = balancing.mix_documents(docs, mix=mix)
+    assert mixed.columns == docs.columns
+    copies = got.groupBy("size").agg(F.sum("copies").alias("n")).collect()
+    made = {r["text"].count(" "): r["count"] for r in mixed.groupBy("text").count().collect()}
+    assert made == {r["size"]: r["n"] for r in copies}
+
+
+def test_rounding_against_rows_one_by_one(spark):
+    """Units of equal rows take what their rows would take one after the other."""
+    rnd = random.Random(3)
+    rows = [(i % 40, "x " * rnd.randrange(9), rnd.choice("ab")) for i in range(400)]
+    rows += rows[:150]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = balancing.Mix(weights=(5, 2), total_percent=70)
+    got = balancing.mix_sizes(docs, mix=mix).collect()
+    by_source = {r["source_size"]: [] for r in got}
+    for r in got:
+        by_source[r["source_size"]].append(r)
+    for parts in by_source.values():
+        rate, over, taken = parts[0]["rate"], 0.0, 0
+        # With one group a source, only sizes decide what the rows in order take.
+        for size in sorted((r["size"] for r in parts), reverse=True):
+            low = int(rate)
+            want = rate * size - over
+            n = low + (size > 0 and want - low * size > size / 2)
+            over = n * size - want
+            taken += n * size
+        assert sum(r["taken"] for r in parts) == taken
+        assert abs(taken - parts[0]["target"]) <= 5
+
+
 def test_features_reach_their_mean(spark):
     rnd = random.Random(1)
     rows = [(i, f"s{i % 3}", rnd.randrange(10, 200), rnd.random()) for i in range(900)]
