@@ -17,7 +17,11 @@ Menus, headers and footers of the page, sidebars, notices, adverts, forms, scrip
 and reader comments are left out by what they are marked as, before ratios are taken. A
 mark is a whole word of a class or a whole id (``share-buttons``, not ``category-social``);
 articles, main elements and headings are never left out by such words, and sections inside
-an article only where their class says adverts or reader comments.
+an article only where their class says adverts or reader comments. What is named after a
+comment (``comment-body``) is one, whatever else its name says. A form that has most of
+the text of a page, in more lines than it has fields, is what the page is built in and no
+form to be filled in. In a container that holds content its short lines are content too,
+up to its end.
 
 Defined results: NULL, empty and text-free pages give an empty text; unclosed elements end
 with their container; plain text without tags is one block; repeated rows are extracted
@@ -47,7 +51,7 @@ VOID = frozenset(
 )
 #: Elements whose whole content is no main text.
 DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form button select option "
+    "script style noscript template head title nav footer aside button select option "
     "textarea input label fieldset iframe object svg canvas audio video menu dialog math "
     "map datalist".split()
 )
@@ -87,6 +91,9 @@ _PARTS = (
 _LAYOUT = _words(_PARTS)
 _PART = re.compile(rf"(?:{_PARTS})", re.IGNORECASE)
 _CONTENT = _words(r"article|content|main|post|entry|story|body|text")
+_COMMENT = re.compile(r"comments?|commentlist|disqus", re.IGNORECASE)
+#: Last words of classes that say whether a post can be commented on.
+_STATES = frozenset("open closed enabled disabled allowed on off".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _JOINTS = re.compile(r"[_-]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -105,6 +112,7 @@ _SELF_CLOSING = {
 _SCOPES = frozenset("ul ol dl table select body html article main section div".split())
 #: Elements whose lines belong together.
 _CONTAINERS = frozenset("div section center td article main".split())
+_FIELDS = frozenset("input select textarea button".split())
 _WHITE = re.compile(r"\s+")
 
 
@@ -115,6 +123,12 @@ def _says(name: str, words: re.Pattern) -> bool:
     return any(told) and all(t or _AROUND.fullmatch(x) for t, x in zip(told, parts))
 
 
+def _is_comment(name: str) -> bool:
+    """Whether a name starts as one of a comment does: ``comment-body``, ``comments_2``."""
+    parts = [x for x in _JOINTS.split(name.lower()) if x]
+    return bool(parts and _COMMENT.fullmatch(parts[0]) and parts[-1] not in _STATES)
+
+
 @dataclass(frozen=True)
 class Extraction:
     sigma: float = 1.5
@@ -123,6 +137,7 @@ class Extraction:
     max_link_share: float = 0.6
     max_gap: int = 3
     unmarked_share: float = 0.2
+    form_share: float = 0.5
 
 
 @dataclass
@@ -134,6 +149,7 @@ class Line:
     linked: int = 0
     article: int = 0
     container: int = 0
+    form: int = 0
     text: str = ""
 
 
@@ -147,6 +163,9 @@ class _Lines(HTMLParser):
         self.articles = 0
         self.article = 0
         self.links = 0
+        #: Number of the open form (forms do not nest), and the fields of each form.
+        self.form = 0
+        self.fields = [0]
         self.lines: list[Line] = []
         self.line = Line()
         #: First line of each container, the one after its last, and the container that
@@ -170,6 +189,8 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self.break_line()
         self.line.tags += 1
+        if tag in _FIELDS and ("type", "hidden") not in attrs:
+            self.fields[self.form] += 1
         if tag in VOID:
             if tag in ("br", "wbr") and not self.dropped:
                 self.line.parts.append(" " if tag == "br" else "")
@@ -181,6 +202,9 @@ class _Lines(HTMLParser):
         self.article += article and not self.articles
         self.articles += article
         self.links += tag == "a"
+        if tag == "form" and not self.form:
+            self.form = len(self.fields)
+            self.fields.append(0)
         self.open.append((tag, drop, article))
         if tag in _CONTAINERS:
             number = len(self.reach)
@@ -209,6 +233,8 @@ class _Lines(HTMLParser):
         self.line.parts.append(data)
         if not self.line.container and data.strip():
             self.line.container = self.inside[-1]
+        if self.form and not self.line.form and data.strip():
+            self.line.form = self.form
         if self.articles and not self.line.article:
             self.line.article = self.article
         if self.links:
@@ -221,6 +247,23 @@ class _Lines(HTMLParser):
             self.reach[container][1] = len(self.lines)
         return self.lines
 
+    def drop_forms(self, share: float) -> list[Line]:
+        """Take the lines of forms out, but of one that is the container of the page."""
+        size, rows = [0] * len(self.fields), [0] * len(self.fields)
+        for line in self.lines:
+            size[line.form] += len(line.text)
+            rows[line.form] += 1
+        kept = {0}
+        for form in range(1, len(size)):
+            if size[form] >= share * sum(size) and rows[form] > self.fields[form]:
+                kept.add(form)
+        before = [0]
+        for line in self.lines:
+            before.append(before[-1] + (line.form in kept))
+        self.lines = [x for x in self.lines if x.form in kept]
+        self.reach = [[before[a], before[b], c] for a, b, c in self.reach]
+        return self.lines
+
     def _close_implied(self, tag: str) -> None:
         if tag in _ENDS_P:
             for i in range(len(self.open) - 1, -1, -1):
@@ -244,6 +287,8 @@ class _Lines(HTMLParser):
             self.dropped -= drop
             self.articles -= article
             self.links -= tag == "a"
+            if tag == "form" and not any(x[0] == "form" for x in self.open[:i]):
+                self.form = 0
             if tag in _CONTAINERS:
                 self.reach[self.inside.pop()][1] = len(self.lines)
         del self.open[i:]
@@ -272,14 +317,18 @@ class _Lines(HTMLParser):
         Only whole words of a class count, as classes also list the topics of a post, and
         ids of headings and sections are made of their titles.
         """
-        if tag in ("article", "main") or tag in _HEADINGS:
+        if tag == "main" or tag in _HEADINGS:
             return False
         names = [w for x in ("class", "role") for w in marks.get(x, "").split()]
+        if any(_is_comment(w) for w in names):
+            return True
+        if tag == "article":
+            return False
         section = tag == "section" or "section" in names
         if section and self.articles:
             return any(_says(w, _FOREIGN) for w in names)
         names += [marks["id"]] if "id" in marks else []
-        if any(_says(w, _NOISE) for w in names):
+        if any(_says(w, _NOISE) or _is_comment(w) for w in names):
             return True
         if self.articles:
             return any(_PART.fullmatch(w) for w in names) and not any(
@@ -314,7 +363,8 @@ def main_text(html: str | None, how: Extraction = Extraction()) -> str:
         return ""
     parser = _Lines()
     parser.feed(html)
-    lines = parser.finish()
+    parser.finish()
+    lines = parser.drop_forms(how.form_share)
     if not lines:
         return ""
     smoothed = smooth(text_tag_ratios(lines), how)
@@ -362,6 +412,10 @@ def _clusters(
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         if together(a, b):
             kept[a:b] = True
+    # Short lines beside content in its container, or in its stretch of the page itself.
+    places = [(x.container, 0 if x.container else int(n)) for x, n in zip(lines, nested)]
+    full = {places[i] for i in at.tolist()}
+    kept |= np.array([x in full for x in places])
     return np.flatnonzero(kept & ~menu & own).tolist()
 
 
