@@ -21,23 +21,25 @@ def sample(
 ) -> pd.DataFrame:
     """At most ``rows`` labelled texts of at most ``max_bytes``, with label 0 or 1.
 
-    ``docs`` has doc_id and text; ``learn`` is a condition on doc_id. The rows are those
-    labels with the smallest hash of their id, so every run learns from the same ones, and
-    only their texts are moved: the ids are at most ``rows``, which bounds the broadcast.
-    Of a document labelled more than once the larger label counts, of rows that repeat an
+    ``docs`` has doc_id and text; ``learn`` is a condition on doc_id. Of the labels that
+    have such a text the rows are those with the smallest hash of their id, so labels of
+    other tables take none of the places and every run learns from the same rows. Only
+    their texts are moved: the ids are at most ``rows``, which bounds the broadcast. Of a
+    document labelled more than once the larger label counts, of rows that repeat an
     id the text that sorts first.
     """
+    texts = F.coalesce("text", F.lit(""))
+    short = docs.filter(F.octet_length(texts) <= max_bytes)
     known = (
         labels.filter(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
+        .join(short.filter(learn).select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    texts = F.coalesce("text", F.lit(""))
     chosen = (
-        docs.filter(F.octet_length(texts) <= max_bytes)
-        .join(F.broadcast(known), "doc_id")
+        short.join(F.broadcast(known), "doc_id")
         .groupBy("doc_id", "label")
         .agg(F.min(texts).alias("text"))
         .orderBy("doc_id")

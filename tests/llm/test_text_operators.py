@@ -11,7 +11,7 @@ import pytest
 
 from strata.llm import byte_cnn, credentials, divergence, html_text, toxicity
 from strata.llm.buffers import utf8
-from strata.llm.labelled import remainder
+from strata.llm.labelled import remainder, sample
 from pyspark.sql import functions as F
 
 
@@ -108,6 +108,42 @@ def test_small_regions_and_unmarked_bodies_stay(page):
     assert ("r7" in got) == ("<table>" in page)
 
 
+PARAGRAPH = "<p>" + "A long paragraph of the article, with many words in it. " * 4 + "</p>"
+
+
+def test_a_form_around_the_page_is_a_container():
+    fields = '<input type="hidden" name="state" value="x"><input name="q"><button>Go</button>'
+    page = f"<body><form action='.'>{fields}{PARAGRAPH * 4}<p>Short end.</p></form></body>"
+    assert html_text.main_text(page).count("\n") == 4
+    assert html_text.main_text(page).endswith("Short end.")
+    asked = "<form><p>Subscribe to our letter</p><input><button>Send</button></form>"
+    assert "Subscribe" not in html_text.main_text(f"<article>{PARAGRAPH}{asked}</article>{asked}")
+    assert html_text.main_text(f"<body><p>Hi there</p>{asked}</body>") == "Hi there"
+    assert html_text.main_text(f"<body>{asked}</body>") == ""
+
+
+@pytest.mark.parametrize(
+    "name", ["comment-body", "comment", "comment-text-17", "comments_area", "commentBody"]
+)
+def test_names_that_start_with_comment_are_comments(name):
+    said = f'<div class="{name}"><p>I liked this one very much, thank you.</p></div>'
+    for page in (f"<article>{PARAGRAPH}{said}</article>", f"<body>{PARAGRAPH * 3}{said}</body>"):
+        assert "liked" not in html_text.main_text(page)
+    kept = f'<div class="comments-open">{PARAGRAPH}</div>'
+    assert html_text.main_text(kept) and html_text.main_text(f"<article>{kept}</article>")
+    reply = f'<article>{PARAGRAPH}</article><article class="comment">{PARAGRAPH.replace("A", "My")}</article>'
+    assert "My long" not in html_text.main_text(reply)
+
+
+def test_short_lines_at_the_end_of_a_container_stay():
+    short = "".join(f"<p>Step {i}</p>" for i in range(8))
+    assert html_text.main_text(f"<body>{PARAGRAPH * 6}{short}</body>").count("\n") == 13
+    menu = '<div><a href="/">Home</a> <a href="/a">About</a></div>'
+    page = f"<body>{menu}<div><h2>Why</h2>{PARAGRAPH * 5}<p>two</p><p>The end.</p></div>{menu}</body>"
+    text = html_text.main_text(page)
+    assert text.startswith("Why\n") and text.endswith("two\nThe end.") and "Home" not in text
+
+
 def test_little_unmarked_text_beside_an_article_is_left_out():
     page = f"<body><div><p>Read us daily, at any place.</p></div><article>{LONG}</article>"
     assert html_text.main_text(page).count("\n") == 19
@@ -293,6 +329,22 @@ def test_held_out_accuracy(spark):
     assert accuracy(spark, byte_cnn, "quality", 4, 2, 0.7) > 0.95
 
 
+def test_labels_without_a_text_take_no_place_of_the_sample(spark):
+    docs = spark.createDataFrame(
+        [(i, f"text {i}") for i in range(20)] + [(None, "none"), (20, "long " * 50), (3, "text 3b")],
+        "doc_id long, text string",
+    )
+    labels = spark.range(4000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality")
+    )
+    got = sample(docs, labels, "quality", F.lit(True), rows=20, max_bytes=100)
+    assert got["doc_id"].tolist() == list(range(20))
+    assert got["text"].tolist() == [f"text {i}" for i in range(20)]
+    assert got["label"].tolist() == [i % 2 for i in range(20)]
+    few = sample(docs, labels, "quality", F.col("doc_id") != 5, rows=7, max_bytes=100)
+    assert len(few) == 7 and 5 not in few["doc_id"].tolist()
+
+
 def test_classifiers_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
