@@ -15,10 +15,11 @@ HASH_SEPARATOR = "||"
 # Columns that checks and deduplication attach to rows on their way; no data.
 ISSUES = "__issues"
 HASH = "__row_hash"
+CONTENT = "__row_hash_start"
 COPIES = "__copies"
 CONFLICT = "__conflict"
 PLACE = "__place"
-HELPERS = (ISSUES, HASH, COPIES, CONFLICT, PLACE)
+HELPERS = (ISSUES, HASH, CONTENT, COPIES, CONFLICT, PLACE)
 
 # Lineage columns say where a row came from, not what it holds.
 LINEAGE_COLUMNS = ("source_file_path", "run_id", "processed_at")

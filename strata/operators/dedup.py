@@ -7,7 +7,8 @@ so a key that holds a large share of the table is never gathered in one task.
 Two forms: ``deduplicate`` carries the whole row through the aggregate and needs no
 stage. For wide rows ``choose_rows`` aggregates fixed-width numbers only, the hash and
 the place of a row in a stage (``placed``), and ``chosen_rows`` fetches the chosen ones
-afterwards, by places, which no key can make uneven.
+afterwards, by places, which no key can make uneven: a bit for each place is sent to the
+rows, so whole rows are not moved at all.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import (
     CONFLICT,
+    CONTENT,
     COPIES,
     HASH,
     HELPERS,
@@ -33,6 +35,8 @@ from strata.sources.tables import stage
 
 #: Hexadecimal digits of a hash that a positive long holds.
 _DIGITS = 15
+#: Slices of 32,768 places whose bits, 4 KB a slice, are broadcast at most.
+_SLICES = 1 << 14
 
 
 def with_row_hash(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -80,9 +84,14 @@ def deduplicate(
 
 
 def placed(df: DataFrame, label: str, strict: bool = False) -> DataFrame:
-    """The rows staged with their content hash and a unique place each."""
+    """The rows staged with the start of their content hash and a unique place each.
+
+    The start is 60 bits as a number, a quarter of the hash, which does not compress.
+    """
     hashed = with_row_hash(df, strict)
-    return stage(hashed.withColumn(PLACE, F.monotonically_increasing_id()), label)
+    start = F.conv(F.substring(F.hex(HASH), 1, _DIGITS), 16, 10).cast("long")
+    rows = hashed.withColumn(CONTENT, start).drop(HASH)
+    return stage(rows.withColumn(PLACE, F.monotonically_increasing_id()), label)
 
 
 def choose_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,9 +103,7 @@ def choose_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     apart by a hash of it, so reruns over the same rows keep the same one.
     """
     keys = _present(rows, keys)
-    start = F.substring(F.hex(HASH), 1, _DIGITS)
-    content = F.conv(start, 16, 10).cast("long")
-    order = content
+    order = content = F.col(CONTENT)
     lineage = [c for c in rows.columns if c in LINEAGE_COLUMNS]
     if lineage:
         low = F.xxhash64(*lineage).bitwiseAND(F.lit((1 << 60) - 1))
@@ -113,9 +120,23 @@ def choose_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def chosen_rows(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows at the chosen places, without the helper columns."""
+    """The rows at the chosen places, without the helper columns.
+
+    Counts the slices of places first. Up to ``_SLICES`` of them (64 MB, half a billion
+    rows) are broadcast as bits; beyond that rows and places meet in a shuffle.
+    """
     columns = [c for c in rows.columns if c not in HELPERS]
-    return rows.join(chosen.select(PLACE), PLACE, "left_semi").select(*columns)
+    places = chosen.select(PLACE)
+    number, position = F.bitmap_bucket_number(PLACE), F.bitmap_bit_position(PLACE)
+    if places.select(number).distinct().count() > _SLICES:
+        return rows.join(places, PLACE, "left_semi").select(*columns)
+    slices = places.groupBy(number.alias("__slice")).agg(
+        F.bitmap_construct_agg(position).alias("__bits")
+    )
+    byte = F.substring("__bits", F.shiftright(position, 3).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), position % 8)
+    same = number == F.col("__slice")
+    return rows.join(F.broadcast(slices), same).filter(bit == 1).select(*columns)
 
 
 def _lineage(columns: Sequence[str]) -> list[str]:

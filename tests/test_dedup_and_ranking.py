@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strata.functions.keys import row_hash
+from strata.operators import dedup
 from strata.operators.dedup import (
     choose_rows,
     chosen_rows,
@@ -26,6 +27,7 @@ from strata.operators.ranking import (
     placed_values,
     top,
 )
+from strata.sources.tables import stage
 
 DATASET = Dataset("run", "SYS", "t", "t.txt")
 DDL = "k1 string, k2 int, v string"
@@ -104,6 +106,30 @@ def test_places_are_chosen_without_sorting_rows(spark, rows):
     assert kept.filter("k = 'hot'").first()["v"] == least
 
 
+def test_chosen_rows_are_not_moved_and_carry_no_whole_hash(spark, rows, monkeypatch):
+    df = spark.range(100_000, numPartitions=3).select(
+        (F.col("id") % 70_001).alias("k"), F.concat(F.lit("v"), "id").alias("v")
+    )
+    staged = placed(df, "places")
+    assert "__row_hash" not in staged.columns
+    assert staged.schema["__row_hash_start"].dataType.simpleString() == "bigint"
+    chosen = stage(choose_rows(staged, ["k"]), "chosen")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        kept = chosen_rows(staged, chosen)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+        monkeypatch.setattr(dedup, "_SLICES", 0)
+        shuffled = chosen_rows(staged, chosen)
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 70_001
+        assert rows(kept) == rows(shuffled) == rows(deduplicate(df, ["k"]))
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_a_key_holding_most_rows_is_reduced_before_the_shuffle(spark):
     df = spark.range(20000, numPartitions=8).select(
         F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), "id"
