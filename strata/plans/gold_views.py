@@ -114,26 +114,34 @@ FROM {{silver}}bls_employment_projections WHERE {BASE_CODE}"""
 
 
 def _ranked(rows: str, groups: Sequence[str], lead: str, ties: str, name: str) -> str:
-    """Dense ranks by ``lead`` descending, a group split by steps of it."""
+    """Dense ranks by ``lead`` descending, a group split by steps of it.
+
+    A group's step is one struct, in which NULLs are equal, so that the windows and the
+    join need one shuffle and one sort of the rows. The last row of a step has its size,
+    which takes no aggregate that holds the values.
+    """
     group = ", ".join(groups)
-    same = " AND ".join(f"stepped.{c} <=> placed.{c}" for c in (*groups, "step"))
     step = (
         f"if(isnan({lead}), {LAST_STEP}, "
         f"CAST(signum({lead}) * floor(log2(abs({lead}) + 1) * 256) AS BIGINT))"
     )
-    inside = ", ".join(f"stepped.{c}" for c in (*groups, "step"))
+    within = f"(PARTITION BY part ORDER BY {lead} DESC, {ties})"
+    inside = ", ".join(f"part.{c}" for c in groups)
     return f"""
-stepped AS (SELECT *, {step} AS step FROM ({rows})),
+stepped AS (
+  SELECT * EXCEPT ({group}), struct({group}, {step} AS step) AS part FROM ({rows})),
+sized AS (
+  SELECT {inside}, part.step, size
+  FROM (SELECT part, dense_rank() OVER within AS size, lead(1) OVER within AS more
+        FROM stepped WINDOW within AS {within})
+  WHERE more IS NULL),
 placed AS (
-  SELECT {group}, step,
+  SELECT struct({group}, step) AS part,
     sum(size) OVER (PARTITION BY {group} ORDER BY step DESC) - size AS before
-  FROM (SELECT {group}, step, count(*) AS size
-        FROM (SELECT DISTINCT {group}, step, {lead}, {ties} FROM stepped)
-        GROUP BY {group}, step)),
+  FROM sized),
 ranked AS (
-  SELECT stepped.*, CAST(before + dense_rank() OVER (
-      PARTITION BY {inside} ORDER BY {lead} DESC, {ties}) AS INT) AS {name}
-  FROM stepped JOIN placed ON {same})"""
+  SELECT * EXCEPT (part, place, before), {inside}, CAST(before + place AS INT) AS {name}
+  FROM (SELECT *, dense_rank() OVER {within} AS place FROM stepped) JOIN placed USING (part))"""
 
 
 def _education() -> str:

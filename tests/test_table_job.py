@@ -159,6 +159,49 @@ def test_catalog_views_equal_the_frames(spark, views, rows, name):
     assert described.filter("col_name = 'Comment'").count() == 1
 
 
+def test_ranks_of_a_view_take_one_shuffle_of_the_rows(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ranks")
+    codes = [None, "11-1011.00", "11-1012.00"]
+    data = [
+        (codes[i % 3], "11-1011", f"e{i}", None if i % 5 == 0 else f"n{i % 4}",
+         None if i % 7 == 0 else "IM", float(i % 11), "f", "r", None)
+        for i in range(400)
+    ]
+    data += [(None, "s", "e", "n", None, v, "f", "r", None) for v in (float("nan"), -0.0, -2.5)]
+    ddl = (
+        "onet_soc_code string, soc_code string, element_id string, element_name string, "
+        "scale_id string, data_value double, source_file_path string, run_id string, "
+        "processed_at timestamp"
+    )
+    skills = spark.createDataFrame(data, ddl)
+    titles = spark.createDataFrame(
+        [("11-1011.00", "Chief"), ("11-1011.00", "Head"), (None, "Nobody")],
+        "onet_soc_code string, occupation_title string",
+    )
+    write_table(titles, "ranks.onet_occupations")
+    for name in ("onet_essential_skills", "onet_transferable_skills"):
+        write_table(skills, f"ranks.{name}")
+    gold_views.publish(spark, "ranks", "ranks", ["bridge_occupation_skill"])
+    view = spark.table("ranks.bridge_occupation_skill")
+    tables = gold.clean_tables(
+        spark,
+        ["onet_occupations", "onet_essential_skills", "onet_transferable_skills"],
+        "ranks",
+    )
+    # NaN is not equal to itself.
+    assert list(map(repr, rows(view))) == list(map(repr, rows(gold.bridge_occupation_skill(tables))))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = view._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    # Values by step, steps by group and by step, rows by step and by code; and the titles.
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert "HashAggregate" not in plan
+
+
 def test_a_view_reads_what_the_last_write_left(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS fresh")
     zones = spark.createDataFrame(
