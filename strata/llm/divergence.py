@@ -229,19 +229,28 @@ def common_words(counted: DataFrame, language: str, rule: Rule) -> DataFrame:
 
 
 def _word_counts(words: Column, common: Column) -> Column:
-    """Uses of each common word, and of all other words together."""
+    """Uses of each common word, and of all other words together.
 
-    def counts(used: Column) -> Column:
-        each = F.transform(
-            common, lambda k: F.size(F.filter(used, lambda w: w == k))
+    Lower case never has fewer characters, so a word that is longer than every common word
+    is none of them, and is turned away by its length. Words hold no blanks, so the others
+    are lowered as one text.
+    """
+
+    def lowered(longest: Column) -> Column:
+        short = F.filter(words, lambda w: F.length(w) <= longest)
+        return F.split(F.lower(F.array_join(short, " ")), " ")
+
+    def uses(low: Column) -> Column:
+        return F.transform(
+            common, lambda k: F.size(low) - F.size(F.array_remove(low, k))
         )
-        return F.concat(each, F.array(F.size(words) - F.size(used)))
 
-    used = F.filter(
-        F.transform(words, lambda w: F.lower(w)),
-        lambda w: F.array_contains(common, w),
-    )
-    return _let(used, counts)
+    def with_rest(each: Column) -> Column:
+        used = F.aggregate(each, F.lit(0), lambda a, x: a + x)
+        return F.concat(each, F.array(F.size(words) - used))
+
+    longest = F.array_max(F.transform(common, lambda k: F.length(k)))
+    return _let(_let(_let(longest, lowered), uses), with_rest)
 
 
 def _join_languages(df: DataFrame, languages: DataFrame, language: str) -> DataFrame:
